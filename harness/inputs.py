@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness.views import table
+from skytally.functions.records import unwrap
 
 # Payload shapes, chosen by event_id % 7 in ``payloads``.
 SHAPES = {
@@ -40,10 +41,12 @@ def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, run_id, source, endpoint and the record as VARIANT in ``doc``."""
-    return document_text(spark, sf_dir).select(
+    payload = F.parse_json(F.concat(F.lit('{"data":['), F.col("text"), F.lit("]}")))
+    files = document_text(spark, sf_dir).select(
         "event_id", "run_id", F.lit("aviationstack").alias("source"),
-        F.lit("flights").alias("endpoint"), F.parse_json("text").alias("doc"),
+        F.lit("flights").alias("endpoint"), payload.alias("payload"),
     )
+    return unwrap(files, "insights").drop("record_ix")
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

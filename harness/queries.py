@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from harness import bi_queries  # noqa: F401
+from harness import bi_queries, flight_queries, state_queries  # noqa: F401
 from harness.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

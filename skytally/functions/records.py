@@ -6,9 +6,12 @@ functions read a record by path, so no record is parsed twice.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from functools import reduce
 from operator import or_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,12 +72,8 @@ def first_text_at(doc: Column, *paths: str) -> Column:
 
 def is_falsy(value: Column) -> Column:
     """null, '', 0, false, {} and [] by JSON type: the text "0" is not falsy."""
-    rendered = F.to_json(value)
-    return (
-        value.isNull()
-        | rendered.isin("null", '""', "false", "{}", "[]")
-        | rendered.rlike(r"^-?0(\.0*)?([eE][+-]?\d+)?$")
-    )
+    empty = r'^(null|""|false|\{\}|\[\]|-?0(\.0*)?([eE][+-]?\d+)?)$'
+    return F.coalesce(F.to_json(value).rlike(empty), F.lit(True))
 
 
 def first_truthy_at(doc: Column, *paths: str) -> Column:
@@ -289,27 +288,24 @@ def pruned_json(column: Column, dtype: T.DataType) -> Column:
     return F.coalesce(F.to_json(pruned(column, dtype)), F.to_json(column))
 
 
-def prune_documents(df: DataFrame, column: str) -> DataFrame:
-    """Prune free-form JSON text whose fields are not known beforehand (Arrow batches)."""
-    import json
+def _pruned_node(node):
+    if isinstance(node, dict):
+        left = {k: v for k, v in ((k, _pruned_node(v)) for k, v in node.items()) if v is not None}
+        return left or None
+    if isinstance(node, list):
+        return [v for v in map(_pruned_node, node) if v is not None] or None
+    return None if node == "" else node
 
-    import pandas as pd
 
-    def keep(node):
-        if isinstance(node, dict):
-            node = {k: v for k, v in ((k, keep(v)) for k, v in node.items()) if v is not None}
-            return node or None
-        if isinstance(node, list):
-            node = [v for v in map(keep, node) if v is not None]
-            return node or None
-        return None if node == "" else node
+def prune_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def one(text):
+        left = None if text is None else _pruned_node(json.loads(text))
+        return text if left is None else json.dumps(left, separators=(",", ":"), ensure_ascii=False)
 
-    @F.pandas_udf("string")
-    def prune_text(texts: pd.Series) -> pd.Series:
-        def one(text):
-            left = keep(json.loads(text)) if text is not None else None
-            return text if left is None else json.dumps(left, separators=(",", ":"), ensure_ascii=False)
+    for texts in batches:
+        yield texts.map(one)
 
-        return texts.map(one)
 
-    return df.withColumn(column, prune_text(F.col(column)))
+def prune_documents(df: DataFrame, column: str) -> DataFrame:
+    """Prune free-form JSON text whose fields are not known beforehand (Arrow batches)."""
+    return df.withColumn(column, F.pandas_udf(prune_texts, "string")(F.col(column)))

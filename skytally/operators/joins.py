@@ -14,6 +14,16 @@ def broadcast_if_small(dimension: DataFrame, max_rows: int = MAX_BROADCAST_ROWS)
     return F.broadcast(dimension) if small else dimension
 
 
+def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters see as values.
+
+    A filter over a plain projection is pushed below it and repeats the projected expression for
+    every reference; for chains over a document that multiplies the work. A one-element ``inline``
+    is not looked through, so each expression runs once per row.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def lookup_coordinates(
     rows: DataFrame, coordinates: DataFrame, codes: list[str], into: str, fallback: Column | None = None
 ) -> DataFrame:
@@ -54,7 +64,7 @@ def on_followed_routes(
     )
 
 
-def at_latest_run(rows: DataFrame, ordinal: Column, run_id: str = "run_id") -> DataFrame:
+def at_latest_run(rows: DataFrame, ordinal: Column | str, run_id: str = "run_id") -> DataFrame:
     """Rows of the run with the highest ordinal: a scalar subquery, so ``run_id`` still prunes."""
     latest = rows.agg(F.max_by(run_id, ordinal).alias("latest"))
     return rows.where(F.col(run_id) == latest.scalar())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skytally.functions import records as R
 from skytally.functions import scalars as S
 from skytally.operators.joins import (
-    broadcast_if_small, coordinate_pair, lookup_coordinates, with_origin_point,
+    broadcast_if_small, coordinate_pair, lookup_coordinates, with_computed, with_origin_point,
 )
 from skytally.operators.search import require_columns
 from skytally.plans.serving import departure_time
@@ -124,34 +124,46 @@ def live_features(
 ) -> DataFrame:
     """The eight model features for French domestic documents, all input columns carried along.
 
-    Only complete rows remain. The coordinate table is looked up four times (departure and arrival,
-    IATA then ICAO); below the checked size these are broadcast joins in one stage without shuffle.
+    Only complete rows remain. What the document itself gives is read before the lookups, so the
+    joins carry plain columns and no expression is expanded into another. The coordinate table is
+    looked up four times (departure and arrival, IATA then ICAO); below the checked size these are
+    broadcast joins in one stage without a shuffle.
     """
     doc = F.col("doc")
     codes = {
         "_dep_iata": R.departure_iata(doc), "_arr_iata": R.arrival_iata(doc),
         "_dep_icao": R.departure_icao(doc), "_arr_icao": R.arrival_icao(doc),
     }
-    rows = flights.withColumns(codes).where(
-        R.is_french_domestic(*[F.col(c) for c in codes])
-    )
+    read = {
+        "_departs": departure_time(doc),
+        "_arrival": payload_arrival(doc),
+        "AC Operator": R.operator_code(doc),
+        "Requested FL": requested_level(doc, default_level),
+    }
+    if use_enriched_distance:
+        read["_enriched"] = enriched_distance(doc)
+    rows = with_computed(flights, codes).where(R.is_french_domestic(*[F.col(c) for c in codes]))
+    rows = with_computed(rows, read)
     places = broadcast_if_small(coordinates)
     rows = lookup_coordinates(rows, places, ["_dep_iata", "_dep_icao"], "_origin")
     rows = lookup_coordinates(
-        rows, places, ["_arr_iata", "_arr_icao"], "_target", fallback=payload_arrival(doc)
+        rows, places, ["_arr_iata", "_arr_icao"], "_target", fallback=F.col("_arrival")
     )
     distance = S.haversine_nm(*[
         F.col(c) for c in
         ("_origin.latitude", "_origin.longitude", "_target.latitude", "_target.longitude")
     ])
+    has_distance = F.col("_target").isNotNull()
     if use_enriched_distance:
-        distance = F.coalesce(enriched_distance(doc), distance)
-    featured = rows.withColumn("_departs", departure_time(doc)).withColumns({
+        distance = F.coalesce("_enriched", distance)
+        has_distance = has_distance | F.col("_enriched").isNotNull()
+    complete = rows.where(
+        F.col("_origin").isNotNull() & has_distance
+        & F.col("_departs").isNotNull() & _q("AC Operator").isNotNull()
+    )
+    return complete.withColumns({
         "Latitude": F.col("_origin.latitude"),
         "Longitude": F.col("_origin.longitude"),
-        "Requested FL": requested_level(doc, default_level),
         RECORDED_DISTANCE: distance,
-        "AC Operator": R.operator_code(doc),
         **S.calendar_features(F.col("_departs")),
-    })
-    return complete_features(featured).drop(*codes, "_origin", "_target", "_departs")
+    }).drop(*codes, "_origin", "_target", "_departs", "_arrival", "_enriched")

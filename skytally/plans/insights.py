@@ -113,11 +113,11 @@ def flatten_routes(records: DataFrame, loaded_at: Column | None = None) -> DataF
     return conform(rows, ROUTES)
 
 
-def latest_route_count(routes: DataFrame, ordinal: Column) -> DataFrame:
+def latest_route_count(routes: DataFrame, ordinal: Column | str) -> DataFrame:
     return at_latest_run(routes, ordinal).agg(F.count(F.lit(1)).alias("total_routes"))
 
 
-def region_flows(routes: DataFrame, ordinal: Column, limit: int = 20) -> DataFrame:
+def region_flows(routes: DataFrame, ordinal: Column | str, limit: int = 20) -> DataFrame:
     """Region pairs of the latest run; ``concat`` is null when a region is."""
     flow = route_label(F.col("departure_region"), F.col("arrival_region"))
     return (
@@ -136,7 +136,7 @@ LATEST_ROUTE_COLUMNS = [
 ]
 
 
-def latest_routes(routes: DataFrame, ordinal: Column, limit: int = 100, ties: tuple[str, ...] = ()) -> DataFrame:
+def latest_routes(routes: DataFrame, ordinal: Column | str, limit: int = 100, ties: tuple[str, ...] = ()) -> DataFrame:
     """Routes of the latest run by departure; nulls last as the dashboards expect."""
     return (
         at_latest_run(routes, ordinal)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytally.operators.joins import with_computed
 from skytally.session import cut_lineage
 
 
@@ -144,4 +145,4 @@ def scan_recent(table: DataFrame, limit: int | None = None) -> DataFrame:
 
 def as_documents(table: DataFrame) -> DataFrame:
     """Document table rows with the whole record as VARIANT in ``doc``."""
-    return table.withColumn("doc", F.to_variant_object(F.struct("*")))
+    return with_computed(table, {"doc": F.to_variant_object(F.struct("*"))})
