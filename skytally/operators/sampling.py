@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skytally.operators.joins import with_computed
+
 BUCKETS = 1 << 16
 MAX_CLASSES = 1_000
 
@@ -36,7 +38,7 @@ def pick_per_class(df: DataFrame, label: str, quota: dict[object, int], seed: in
         f"_class {df.schema[label].dataType.simpleString()}, _quota bigint",
     )
     draw = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns])
-    rows = df.withColumn("_draw", draw).withColumn("_bucket", F.pmod("_draw", F.lit(BUCKETS)))
+    rows = with_computed(df, {"_draw": draw}).withColumn("_bucket", F.pmod("_draw", F.lit(BUCKETS)))
 
     upto = W.partitionBy(label).orderBy("_bucket")  # at most BUCKETS rows per class
     histogram = (

@@ -57,23 +57,28 @@ def history_features(
     required = HISTORY_REQUIRED + ([] if use_route_distance else [RECORDED_DISTANCE])
     require_columns(history, required)
     filed, actual = F.col("filed_dep"), F.col("actual_dep")
+    distance = route_distance() if use_route_distance else S.to_number(_q(RECORDED_DISTANCE))
+    read = {
+        "filed_dep": S.parse_history_timestamp(_q("FILED OFF BLOCK TIME")),
+        "actual_dep": S.parse_history_timestamp(_q("ACTUAL OFF BLOCK TIME")),
+        "Latitude": S.to_number(_q("ADEP Latitude")),
+        "Longitude": S.to_number(_q("ADEP Longitude")),
+        "_distance": distance,
+        "_level": S.to_number(_q("Requested FL")),
+        "_operator": S.clean_text(_q("AC Operator"), upper=True),
+    }
+    kept = french_domestic_history(history.drop("Latitude", "Longitude"))
     rows = (
-        french_domestic_history(history)
-        .withColumns({
-            "filed_dep": S.parse_history_timestamp(_q("FILED OFF BLOCK TIME")),
-            "actual_dep": S.parse_history_timestamp(_q("ACTUAL OFF BLOCK TIME")),
-        })
+        with_computed(kept, read)
         .withColumns({
             "departure_delay_min": S.minutes_between(filed, actual),
             **S.calendar_features(filed),
-            "Latitude": S.to_number(_q("ADEP Latitude")),
-            "Longitude": S.to_number(_q("ADEP Longitude")),
-            RECORDED_DISTANCE: route_distance() if use_route_distance
-            else S.to_number(_q(RECORDED_DISTANCE)),
-            "Requested FL": S.to_number(_q("Requested FL")),
-            "AC Operator": S.clean_text(_q("AC Operator"), upper=True),
+            RECORDED_DISTANCE: F.col("_distance"),
+            "Requested FL": F.col("_level"),
+            "AC Operator": F.col("_operator"),
         })
         .withColumn(TARGET, S.delayed_flag(F.col("departure_delay_min")))
+        .drop("_distance", "_level", "_operator")
     )
     return only_features(rows) if keep_only else rows
 
@@ -83,7 +88,7 @@ def trajectory_features(history: DataFrame, points: DataFrame) -> DataFrame:
     filter."""
     filed = F.to_timestamp("FILED OFF BLOCK TIME", "dd-MM-yyyy HH:mm:ss")
     actual = F.to_timestamp("ACTUAL OFF BLOCK TIME", "dd-MM-yyyy HH:mm:ss")
-    timed = history.withColumns({"filed_dep": filed, "actual_dep": actual}).withColumns({
+    timed = with_computed(history, {"filed_dep": filed, "actual_dep": actual}).withColumns({
         "departure_delay_min": S.minutes_between(F.col("filed_dep"), F.col("actual_dep")),
         **S.calendar_features(F.col("filed_dep")),
     }).withColumn(TARGET, S.delayed_flag(F.col("departure_delay_min")))

@@ -54,9 +54,9 @@ def check_classes(df: DataFrame, label: str = TARGET) -> dict[object, int]:
 def coerce_training(table: DataFrame) -> DataFrame:
     """Numeric columns from text, complete rows only, integer target."""
     require_columns(table, [TARGET, *FEATURES])
-    numeric = {*NUMERIC_FEATURES, TARGET}
+    texts = {name for name, kind in table.dtypes if kind == "string"} - set(CATEGORICAL_FEATURES)
     columns = [
-        (to_number(F.col(f"`{c}`")) if c in numeric else F.col(f"`{c}`")).alias(c)
+        (to_number(F.col(f"`{c}`")) if c in texts else F.col(f"`{c}`")).alias(c)
         for c in [TARGET, *FEATURES]
     ]
     return table.select(columns).dropna().withColumn(TARGET, F.col(TARGET).cast("bigint"))
