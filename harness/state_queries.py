@@ -148,7 +148,7 @@ CLASSES = f"""classes AS (
 WITH {CLASSES}
 SELECT is_delayed, CAST(CASE WHEN total <= 10000 THEN n ELSE least(n, greatest(1, (10000 * n) // total)) END AS BIGINT) AS picked FROM classes""")
 def stratified_sample_counts(spark, sf_dir):
-    sample = sampling.stratified_sample(training_rows(spark, sf_dir), schemas.TARGET, 10_000, 84)
+    sample = model.prepare_training(training_rows(spark, sf_dir), max_rows=10_000)
     return sample.groupBy(schemas.TARGET).agg(F.count(F.lit(1)).alias("picked"))
 
 
@@ -159,7 +159,8 @@ floors AS (SELECT *, floor(share) AS base, wanted - SUM(floor(share)) OVER () AS
 SELECT is_delayed, CAST(base + CASE WHEN rn <= short THEN 1 ELSE 0 END AS BIGINT) AS held_out,
        CAST(n - base - CASE WHEN rn <= short THEN 1 ELSE 0 END AS BIGINT) AS training FROM floors""")
 def stratified_split_counts(spark, sf_dir):
-    training, held_out = sampling.split_train_test(training_rows(spark, sf_dir), schemas.TARGET)
+    rows = model.prepare_training(training_rows(spark, sf_dir), max_rows=0)
+    training, held_out = sampling.split_train_test(rows, schemas.TARGET)
     marked = training.select(schemas.TARGET, F.lit(1).alias("t")).unionByName(
         held_out.select(schemas.TARGET, F.lit(0).alias("t"))
     )

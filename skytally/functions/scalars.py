@@ -116,12 +116,12 @@ def calendar_features(ts: Column) -> dict[str, Column]:
 
 
 def hour_bucket(hour: Column) -> Column:
-    start = (F.floor(hour / 3) * 3).cast("int")
-    return F.when(hour.isNotNull(), F.format_string("%02dh-%02dh", start, start + 2))
+    """Label of the 3-hour bucket, taken from the fixed list (no formatting per row)."""
+    return F.try_element_at(F.lit(HOUR_BUCKETS), F.floor(hour / 3).cast("int") + 1)
 
 
 def day_name(ts: Column) -> Column:
-    return F.date_format(ts, "EEEE")
+    return F.try_element_at(F.lit(DAYS), F.weekday(ts) + 1)
 
 
 def monday_based_weekday(ts: Column) -> Column:

@@ -102,7 +102,7 @@ def hour_volume(history: DataFrame) -> DataFrame:
 def heatmap_cells(history: DataFrame) -> DataFrame:
     total, delayed = F.count("flight_id"), F.count_if("is_delayed")
     return (
-        history.where("hour_group IS NOT NULL AND day_name IS NOT NULL")
+        history.where("filed_dep_time IS NOT NULL")  # then hour and day are there too
         .groupBy("hour_group", "day_name")
         .agg(
             total.alias("total_flights"),

@@ -17,6 +17,7 @@ from skytally.functions.scalars import to_number
 from skytally.operators.sampling import class_counts, split_train_test, stratified_sample
 from skytally.operators.search import require_columns
 from skytally.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, TARGET
+from skytally.session import cut_lineage
 
 SEED = 84
 MAX_TRAINING_ROWS = 300_000
@@ -25,8 +26,9 @@ WEIGHT = "_weight"
 # Training presets.
 PRESETS = {
     "forest_job": dict(kind="forest", balanced=True, params=dict(
-        numTrees=50, maxDepth=12, minInstancesPerNode=20)),
-    "forest_notebook": dict(kind="forest", balanced=False, params=dict(numTrees=100, maxDepth=15)),
+        numTrees=50, maxDepth=12, minInstancesPerNode=20, maxMemoryInMB=1024)),
+    "forest_notebook": dict(kind="forest", balanced=False, params=dict(
+        numTrees=100, maxDepth=15, maxMemoryInMB=1024)),
     "boosting_notebook": dict(kind="boosting", balanced=False, params=dict(
         maxIter=100, maxDepth=6, stepSize=0.1)),
 }
@@ -63,8 +65,11 @@ def coerce_training(table: DataFrame) -> DataFrame:
 
 
 def prepare_training(table: DataFrame, max_rows: int = MAX_TRAINING_ROWS, seed: int = SEED) -> DataFrame:
-    """Training rows; above ``max_rows`` an exact stratified sample (0 keeps all)."""
-    rows = coerce_training(table)
+    """Training rows; above ``max_rows`` an exact stratified sample (0 keeps all).
+
+    The rows are written once: the class counts, the picks and the fit all start from them.
+    """
+    rows = cut_lineage(coerce_training(table))
     check_classes(rows)
     return stratified_sample(rows, TARGET, max_rows, seed)
 

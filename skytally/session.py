@@ -50,8 +50,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so a later overwrite may replace the files ``df`` was read from."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """The rows written once to the shared folder and read back.
+
+    Later steps start from the files: they survive lost executors without recomputing what came
+    before, and a following overwrite may replace the files ``df`` was read from. Parquet keeps the
+    read columnar, prunable and of known size.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
