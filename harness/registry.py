@@ -38,6 +38,7 @@ def query(name: str, oracle: str | None = None, views: tuple[str, ...] = ()) ->
     def register(fn: Query) -> Query:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return portable(fn(spark, sf_dir))
 
         QUERIES[name] = run

@@ -288,24 +288,26 @@ def pruned_json(column: Column, dtype: T.DataType) -> Column:
     return F.coalesce(F.to_json(pruned(column, dtype)), F.to_json(column))
 
 
-def _pruned_node(node):
-    if isinstance(node, dict):
-        left = {k: v for k, v in ((k, _pruned_node(v)) for k, v in node.items()) if v is not None}
-        return left or None
-    if isinstance(node, list):
-        return [v for v in map(_pruned_node, node) if v is not None] or None
-    return None if node == "" else node
-
-
-def prune_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    def one(text):
-        left = None if text is None else _pruned_node(json.loads(text))
-        return text if left is None else json.dumps(left, separators=(",", ":"), ensure_ascii=False)
+def prune_documents(df: DataFrame, column: str) -> DataFrame:
+    """Prune free-form JSON text whose fields are not known beforehand (Arrow batches).
 
-    for texts in batches:
-        yield texts.map(one)
+    The functions are nested so that they travel to the workers by value.
+    """
 
+    def pruned_node(node):
+        if isinstance(node, dict):
+            left = {k: v for k, v in ((k, pruned_node(v)) for k, v in node.items()) if v is not None}
+            return left or None
+        if isinstance(node, list):
+            return [v for v in map(pruned_node, node) if v is not None] or None
+        return None if node == "" else node
 
-def prune_documents(df: DataFrame, column: str) -> DataFrame:
-    """Prune free-form JSON text whose fields are not known beforehand (Arrow batches)."""
-    return df.withColumn(column, F.pandas_udf(prune_texts, "string")(F.col(column)))
+    def prune_text(text):
+        left = None if text is None else pruned_node(json.loads(text))
+        return text if left is None else json.dumps(left, separators=(",", ":"), ensure_ascii=False)
+
+    def prune_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(prune_text)
+
+    return df.withColumn(column, F.pandas_udf(prune_batches, "string")(F.col(column)))

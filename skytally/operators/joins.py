@@ -58,7 +58,7 @@ def on_followed_routes(
     """Scheduled flights on the listed routes (left semi-join)."""
     listed = flights.sparkSession.createDataFrame(routes, "_dep string, _arr string")
     return flights.where(F.col(status) == "scheduled").join(
-        F.broadcast(listed),  # the list is the caller's literal, 15 pairs by default
+        F.broadcast(listed) if len(routes) <= MAX_BROADCAST_ROWS else listed,
         (F.col(departure) == F.col("_dep")) & (F.col(arrival) == F.col("_arr")),
         "left_semi",
     )

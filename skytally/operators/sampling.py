@@ -31,6 +31,8 @@ def pick_per_class(df: DataFrame, label: str, quota: dict[object, int], seed: in
     shuffle. Only the boundary bucket (about 1/65,536 of a class) is ranked, after equal rows have
     been collapsed into a count, so neither a large class nor a mass of copies meets in one task.
     """
+    if len(quota) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
     columns = df.columns
     spark = df.sparkSession
     quotas = spark.createDataFrame(
@@ -44,10 +46,7 @@ def pick_per_class(df: DataFrame, label: str, quota: dict[object, int], seed: in
     histogram = (
         rows.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_through", F.sum("_n").over(upto))
-        .join(F.broadcast(quotas), F.col(label).eqNullSafe(F.col("_class")), "left")
-        .withColumn("_quota", F.coalesce("_quota", F.lit(0)))
-        .drop("_class")
-        .withColumnRenamed(label, "_class")
+        .join(F.broadcast(quotas), F.col(label).eqNullSafe(F.col("_class")))
     )
     boundary = histogram.where("_through > _quota").groupBy("_class").agg(
         F.min("_bucket").alias("_edge"),
@@ -55,9 +54,13 @@ def pick_per_class(df: DataFrame, label: str, quota: dict[object, int], seed: in
     )
     placed = rows.join(F.broadcast(boundary), F.col(label).eqNullSafe(F.col("_class")), "left")
 
+    has_quota = F.col(label).isin([k for k in quota if k is not None])
+    if None in quota:
+        has_quota = has_quota | F.col(label).isNull()
+    # A class with a quota but no edge is picked whole.
     settled = placed.where("_edge IS NULL OR _bucket <> _edge").select(
         *[F.col(f"`{c}`") for c in columns],
-        F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(True)).alias("picked"),
+        F.coalesce(F.col("_bucket") < F.col("_edge"), has_quota, F.lit(False)).alias("picked"),
     )
     # Copies of one row are interchangeable: rank distinct rows, then hand out their copies.
     ranked = (

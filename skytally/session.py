@@ -30,18 +30,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", "") or context.getConf().get(
         "spark.checkpoint.dir", ""
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    local = tempfile.mkdtemp(prefix="skytally-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    app = context.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="skytally-")
+    return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -25,6 +25,8 @@ def test_nothing_is_lost_or_repeated(rows):
     marked = sampling.pick_per_class(rows, "y", {0: 10, 1: 1000}, 1)
     assert rows.exceptAll(marked.drop("picked")).isEmpty() and marked.count() == 5_000
     assert dict(marked.where("picked").groupBy("y").count().collect()) == {0: 10, 1: 1000}
+    lone = sampling.pick_per_class(rows, "y", {1: 5}, 1)
+    assert dict(lone.where("picked").groupBy("y").count().collect()) == {1: 5} and lone.count() == 5_000
 
 
 def test_copies_are_counted_exactly(spark):
