@@ -37,8 +37,8 @@ def rows_of(names, rows):
     return sorted(names), sorted([tuple(cell(r[i]) for i in order) for r in rows])
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str:
-    """Empty when equal, else what differs."""
+def compare(spark, con, name: str, sf_dir: str, allow_empty: bool = False) -> str:
+    """Empty when equal, else what differs. Two empty results count as a failure by default."""
     df = QUERIES[name](spark, sf_dir)
     mine = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLES:
@@ -49,7 +49,7 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
         return f"columns {mine[0]} vs {theirs[0]}"
     if len(mine[1]) != len(theirs[1]):
         return f"{len(mine[1])} rows vs {len(theirs[1])}"
-    if not mine[1]:
+    if not mine[1] and not allow_empty:
         return "no rows"
     different = [(a, b) for a, b in zip(mine[1], theirs[1]) if a != b]
     return f"{len(different)} rows differ, first {different[0]}" if different else ""

@@ -36,7 +36,7 @@ to_json(named_struct(
 
 def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, run_id, flight columns and the JSON text of each observation."""
-    return table(spark, sf_dir, "v_obs").withColumn("text", F.expr(DOCUMENT))
+    return table(spark, sf_dir, "v_obs", spread=True).withColumn("text", F.expr(DOCUMENT))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v_hist as the text columns a flight CSV holds, '' where unknown."""
     fmt = "dd-MM-yyyy HH:mm:ss"
-    hist = table(spark, sf_dir, "v_hist")
+    hist = table(spark, sf_dir, "v_hist", spread=True)
     filed = F.col("filed_dep").cast("timestamp")
     actual = F.timestamp_add("MINUTE", F.col("delay_minutes"), filed)
     text = lambda c: F.col(c).cast("string")

@@ -64,7 +64,7 @@ merged AS (
 
 
 def merged_documents(spark, sf_dir):
-    rows = table(spark, sf_dir, "v_obs").withColumn("doc", F.expr(MONTHLY_DOCUMENT))
+    rows = table(spark, sf_dir, "v_obs", spread=True).withColumn("doc", F.expr(MONTHLY_DOCUMENT))
     payload = F.parse_json(F.concat(F.lit("["), "doc", F.lit("]")))
     records = R.unwrap(
         rows.select("event_id", "departure_scheduled", payload.alias("payload")), "flights"

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skytally.operators.joins import spread_input
+
+FACT_TABLES = ["lineitem", "events"]
 BASE_TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 VIEWS = {
@@ -67,10 +70,16 @@ FROM events""",
 NEEDS = {"v_hist": ["v_airports"], "v_pred": ["v_obs"]}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view of the given scale-factor folder."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A derived view of the given scale-factor folder.
+
+    ``spread`` is for row-wise document and text work over inputs of very few splits.
+    """
     for base in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
+        rows = spark.read.parquet(f"{sf_dir}/{base}.parquet")
+        if spread and base in FACT_TABLES:
+            rows = spread_input(rows)
+        rows.createOrReplaceTempView(base)
     for needed in NEEDS.get(name, []):
         spark.sql(VIEWS[needed]).createOrReplaceTempView(needed)
     return spark.sql(VIEWS[name])

@@ -14,6 +14,16 @@ def broadcast_if_small(dimension: DataFrame, max_rows: int = MAX_BROADCAST_ROWS)
     return F.broadcast(dimension) if small else dimension
 
 
+def spread_input(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer splits than task slots, e.g. one unsplittable file.
+
+    Row-wise work on documents is the costly part, so a small round-robin shuffle pays there. An
+    input with enough splits, as any large one has, is returned as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
 def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that later filters see as values.
 

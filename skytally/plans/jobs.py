@@ -42,7 +42,7 @@ def load_documents(
         R.unwrap(payloads.parse_payloads(files.select("file_name", "payload")), UNWRAP_MODE[endpoint]),
         endpoint,
     )
-    keyed = cut_lineage(keyed)  # read by discovery, partition choice and the merge
+    keyed = keyed.persist()  # read by the counters, discovery, partition choice and the merge
     counted = merge.record_counters(keyed).agg(
         F.count(F.lit(1)), *[F.sum(c) for c in ("records", "valid", "invalid")]
     ).first()
@@ -73,6 +73,7 @@ def load_documents(
     tables.replace_partitions(
         merged.drop("change_type", "batch_rows"), target, partitions, checkpointed=True
     )
+    keyed.unpersist()
     return {
         "files": counted[0], "records": counted[1] or 0, "invalid": counted[3] or 0, **changes,
     }
@@ -111,7 +112,7 @@ def routes_job(
         "source": F.lit(source), "endpoint": F.lit(endpoint),
         "loaded_seq": F.lit(loaded_seq).cast("bigint"),
     })
-    batch = cut_lineage(insights.flatten_routes(records))
+    batch = insights.flatten_routes(records).persist()
     target = lake.path("flight_aircraft_routes")
     existing = tables.read_table(spark, target, schemas.ROUTES).where(
         F.coalesce(F.col("loaded_seq"), F.lit(-1)) != loaded_seq
@@ -120,7 +121,9 @@ def routes_job(
     merged = merge.merge_relational(
         existing, batch, schemas.ROUTE_KEY, order=("row_ix",)
     )
-    return tables.replace_partitions(merged, target, ("run_id",))
+    done = tables.replace_partitions(merged, target, ("run_id",))
+    batch.unpersist()
+    return done
 
 
 def history_job(spark: SparkSession, lake: Lake, folder: str) -> dict[str, object]:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skytally.operators.joins import spread_input
 from skytally.plans import jobs
-from skytally.sources.payloads import named_parts, payload_pattern
+from skytally.sources.payloads import named_parts, parse_payloads, payload_pattern
 
 
 def read_incoming(
@@ -42,7 +43,7 @@ def ingest(
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        held = batch.persist()
+        held = parse_payloads(spread_input(batch)).persist()  # parsed once for the three outputs
         try:
             jobs.load_documents(spark, lake, held, endpoint, source, f"stream-{batch_id}")
             jobs.fan_out(spark, lake, held, source, endpoint, batch_id)
