@@ -138,11 +138,17 @@ def record_list(payload: Column, mode: str) -> Column:
     return F.filter(found, is_object)
 
 
-def unwrap(payloads: DataFrame, mode: str, payload: str = "payload") -> DataFrame:
-    """One row per record: the other columns, ``record_ix`` and ``doc``."""
+def unwrap(
+    payloads: DataFrame, mode: str, payload: str = "payload", keep_empty: bool = False
+) -> DataFrame:
+    """One row per record: the other columns, ``record_ix`` and ``doc``.
+
+    With ``keep_empty`` a payload without records gives one row with a null ``doc``.
+    """
     rest = [c for c in payloads.columns if c != payload]
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     return payloads.select(
-        *rest, F.posexplode(record_list(F.col(payload), mode)).alias("record_ix", "doc")
+        *rest, explode(record_list(F.col(payload), mode)).alias("record_ix", "doc")
     )
 
 

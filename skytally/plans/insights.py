@@ -19,15 +19,17 @@ STATUSES = ["active", "scheduled", "landed", "cancelled", "diverted", "incident"
 def snapshot_insights(records: DataFrame, keys: tuple[str, ...] = ("run_id", "source", "endpoint")) -> DataFrame:
     """One row of indicators per snapshot from VARIANT records in ``doc``.
 
+    A null ``doc`` stands for a payload without records: it makes the row but counts nowhere.
+
     Two steps: first by snapshot and code triple, which combines on the map side and spreads one
     large run over many reducers; then the distinct counts over those few groups.
     """
     doc = F.col("doc")
     facts = records.select(
         *keys,
-        first_text(
+        F.when(doc.isNotNull(), first_text(
             R.text_at(doc, "flight.flight_status"), R.text_at(doc, "flight_status"), F.lit("unknown")
-        ).alias("status"),
+        )).alias("status"),
         F.nullif(R.text_at(doc, "airline.iata"), F.lit("")).alias("airline"),
         F.nullif(R.text_at(doc, "departure.iata"), F.lit("")).alias("dep"),
         F.nullif(R.text_at(doc, "arrival.iata"), F.lit("")).alias("arr"),
@@ -36,7 +38,7 @@ def snapshot_insights(records: DataFrame, keys: tuple[str, ...] = ("run_id", "so
     )
     status_counts = [F.count_if(F.col("status") == s).alias(s) for s in STATUSES]
     by_code = facts.groupBy(*keys, "airline", "dep", "arr").agg(
-        F.count(F.lit(1)).alias("total"),
+        F.count("status").alias("total"),
         *status_counts,
         F.count_if("dep_late").alias("dep_late"),
         F.count_if("arr_late").alias("arr_late"),

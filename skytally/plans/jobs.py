@@ -82,17 +82,15 @@ def load_documents(
 def snapshot_job(
     spark: SparkSession, lake: Lake, files: DataFrame, source: str, endpoint: str
 ) -> DataFrame:
-    """Indicators of each run in ``files`` (file_name, run_id, payload), merged by run_id."""
-    records = R.unwrap(payloads.parse_payloads(files), "insights").withColumns(
+    """Indicators of each run in ``files`` (file_name, run_id, payload), merged by run_id.
+
+    A payload without records still makes a row of zeros.
+    """
+    records = R.unwrap(payloads.parse_payloads(files), "insights", keep_empty=True).withColumns(
         {"source": F.lit(source), "endpoint": F.lit(endpoint)}
     )
     per_file = insights.snapshot_insights(records, ("run_id", "file_name", "source", "endpoint"))
-    # A payload without records still makes a row of zeros.
-    empty = files.select("run_id", "file_name").join(per_file, ["run_id", "file_name"], "left_anti")
-    zeros = {
-        c: F.lit(0) for c in schemas.SNAPSHOT_COUNTERS + schemas.SNAPSHOT_DETAILS
-    } | {"observed_flights_active_pct": F.lit(0.0), "source": F.lit(source), "endpoint": F.lit(endpoint)}
-    rows = insights.last_file_per_run(per_file.unionByName(empty.withColumns(zeros)))
+    rows = insights.last_file_per_run(per_file)
     stamped = insights.stamp_insights(rows, F.current_timestamp())
     target = lake.path("flight_snapshot_insights")
     existing = tables.read_table(spark, target, schemas.SNAPSHOT_INSIGHTS)
