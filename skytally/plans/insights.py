@@ -115,12 +115,18 @@ def flatten_routes(records: DataFrame, loaded_at: Column | None = None) -> DataF
     return conform(rows, ROUTES)
 
 
-def latest_route_count(routes: DataFrame, ordinal: Column | str) -> DataFrame:
-    return at_latest_run(routes, ordinal).agg(F.count(F.lit(1)).alias("total_routes"))
+def insertion_order() -> Column:
+    """Order in which stored routes were first written; an upsert keeps ``created_at``."""
+    return F.struct("created_at", "loaded_seq", "file_name", "row_ix")
 
 
-def region_flows(routes: DataFrame, ordinal: Column | str, limit: int = 20) -> DataFrame:
+def latest_route_count(routes: DataFrame, ordinal: Column | str | None = None) -> DataFrame:
+    return at_latest_run(routes, insertion_order() if ordinal is None else ordinal).agg(F.count(F.lit(1)).alias("total_routes"))
+
+
+def region_flows(routes: DataFrame, ordinal: Column | str | None = None, limit: int = 20) -> DataFrame:
     """Region pairs of the latest run; ``concat`` is null when a region is."""
+    ordinal = insertion_order() if ordinal is None else ordinal
     flow = route_label(F.col("departure_region"), F.col("arrival_region"))
     return (
         at_latest_run(routes, ordinal)
@@ -138,8 +144,11 @@ LATEST_ROUTE_COLUMNS = [
 ]
 
 
-def latest_routes(routes: DataFrame, ordinal: Column | str, limit: int = 100, ties: tuple[str, ...] = ()) -> DataFrame:
+def latest_routes(
+    routes: DataFrame, ordinal: Column | str | None = None, limit: int = 100, ties: tuple[str, ...] = ()
+) -> DataFrame:
     """Routes of the latest run by departure; nulls last as the dashboards expect."""
+    ordinal = insertion_order() if ordinal is None else ordinal
     return (
         at_latest_run(routes, ordinal)
         .orderBy(F.asc_nulls_last("departure_scheduled"), F.asc_nulls_last("flight_iata"), *ties)

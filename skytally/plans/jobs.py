@@ -104,7 +104,7 @@ def routes_job(
     """Route rows of each run in ``files``, merged by the route key within the run partitions.
 
     Rows with a null in the key never conflict, so rows an earlier attempt of the same load wrote
-    (same ``loaded_seq``) are left out first; a replay gives the same table.
+    (same file and ``loaded_seq``) are left out first; a replay gives the same table.
     """
     records = R.unwrap(payloads.parse_payloads(files), "insights").withColumns({
         "source": F.lit(source), "endpoint": F.lit(endpoint),
@@ -112,12 +112,13 @@ def routes_job(
     })
     batch = insights.flatten_routes(records).persist()
     target = lake.path("flight_aircraft_routes")
-    existing = tables.read_table(spark, target, schemas.ROUTES).where(
-        F.coalesce(F.col("loaded_seq"), F.lit(-1)) != loaded_seq
+    existing = tables.touched(tables.read_table(spark, target, schemas.ROUTES), batch, "run_id")
+    replayed = ["run_id", "file_name", "loaded_seq"]
+    existing = existing.join(batch.select(replayed).distinct(), replayed, "left_anti").select(
+        schemas.ROUTES.names
     )
-    existing = tables.touched(existing, batch, "run_id")
     merged = merge.merge_relational(
-        existing, batch, schemas.ROUTE_KEY, order=("row_ix",)
+        existing, batch, schemas.ROUTE_KEY, order=("file_name", "row_ix")
     )
     done = tables.replace_partitions(merged, target, ("run_id",))
     batch.unpersist()

@@ -69,7 +69,7 @@ ROUTES = _struct(
     arrival_region=STRING,
     departure_scheduled=TS, departure_estimated=TS, departure_actual=TS,
     arrival_scheduled=TS, arrival_estimated=TS, arrival_actual=TS,
-    created_at=TS, loaded_seq=LONG, row_ix=LONG,
+    created_at=TS, loaded_seq=LONG, file_name=STRING, row_ix=LONG,
 )
 ROUTE_KEY = [
     "run_id", "flight_iata", "departure_iata", "arrival_iata", "aircraft_icao24", "flight_date",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skytally.__main__ import parser
-from skytally.plans import jobs, model, runlog
+from skytally.plans import insights, jobs, model, runlog
 from skytally.schemas import FEATURES, PREDICTIONS, ROUTES, SNAPSHOT_INSIGHTS, TARGET
 from skytally.sources import payloads, tables
 from skytally.streaming.snapshots import ingest, read_incoming
@@ -97,6 +97,10 @@ def test_routes_job_replay_and_null_keys(spark, lake):
     assert read().where("flight_iata = 'AF2'").count() == 2 and read().count() == 3
     jobs.routes_job(spark, lake, files_of(spark, ("b.json", "r2", [flight("AF9")])), "aviationstack", "flights", 3)
     assert read().groupBy("run_id").count().count() == 2 and read().first().departure_region == "Europe"
+    # Another file of r1 under a number used before removes nothing.
+    jobs.routes_job(spark, lake, files_of(spark, ("c.json", "r1", [flight("AF5")])), "aviationstack", "flights", 2)
+    assert read().where("run_id = 'r1'").count() == 4
+    assert insights.latest_route_count(read()).first()[0] == 4
 
 
 def test_stream_equals_batch_and_archive_ledger(spark, tmp_path, lake):
