@@ -7,10 +7,10 @@ a column chunk's dictionary fits in ``DICTIONARY_BYTES``; integer columns beyond
 n_tokens, are delta-encoded (format version 2). Row groups carry min/max statistics and page
 indexes, so a read of some doc_ids, or of the metadata columns alone, touches only their pages.
 
-Tokenising caches the ids of word-like pieces: in text of Latin-1 letters the tokenizer's own
-normaliser and splitter never join across the pieces cut here, so ids are those of the whole text
-(tests compare them on all documents). Texts with apostrophes are cut at white space only, any other
-text is encoded whole.
+Tokenising caches the ids of words: the tokenizer drops white space, so no id spans it, and its
+splitter never joins letters to other characters but after an apostrophe. Texts with special tokens,
+or with characters whose lower case or normal form is not one for one, are cut at white space only
+and their words encoded whole. So ids are those of the whole text; tests compare them.
 
 Cases: a null or empty text has only the end id; rows with equal doc_id are kept, in the order of
 their ids; an empty table gives an empty result and folder; other columns are not read.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.registry import read, register
+from skytally.llm.registry import read, register, ship
 from skytally.session import scratch_path
 
 ROWS_PER_FILE = 500_000
@@ -38,13 +39,39 @@ DICTIONARY_BYTES = 1 << 20
 END_ID = 2
 CACHE_ENTRIES = 400_000
 
-PLAIN = re.compile(r"[^\t\n\r -~¡-¬®-ÿ]")
-PIECE = re.compile("[a-zß-öø-ÿ]+|[^\\sa-zß-öø-ÿ]+")
+# Characters whose lower case and normal form are one for one, without letters that are no a-z or à-ÿ.
+PLAIN = re.compile(r"[^\t\n\r -~¡-©«¬®-´¶-¹»-ÿ]")
+PIECE = re.compile("[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
 SPACED = re.compile("[^ \t\n\r]+")
 
 
+def byte_symbols() -> dict[int, str]:
+    """Byte-level symbols of the letters ß to ÿ: a UTF-8 byte that is no printable Latin-1 character
+    is written as the next free character from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in printable]
+    symbol = {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(other)}
+    return {c: "".join(symbol[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+
+class Computed(dict):
+    """A dictionary that computes what it lacks."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.compute(key)
+        return value
+
+
 class PieceEncoder:
-    """Ids of whole texts by a ``tokenizers`` file, as uint32 arrays."""
+    """Ids of whole texts by a ``tokenizers`` file, as uint32 arrays.
+
+    Words are cut at white space. A word seen before is looked up; a new one of plain letters and
+    marks is cut into runs of either, and runs of letters go to the tokenizer's model directly.
+    """
 
     def __init__(self, path: str):
         import os
@@ -53,24 +80,33 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.symbols = byte_symbols()
+        self.words, self.runs = Computed(self.word), Computed(self.run)
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def run(self, run: str) -> bytes:
+        if not run.isalpha():
+            return self.whole(run)
+        return array("I", [t.id for t in self.tokenize(run.translate(self.symbols))]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        if "'" in word:
+            return self.whole(word)
+        return b"".join(map(self.runs.__getitem__, PIECE.findall(word)))
 
-    def pieces(self, text: str) -> list[str]:
+    def encode(self, text: str) -> np.ndarray:
         if "<|" in text or PLAIN.search(text):
-            return [text]
-        if "'" in text:
-            return SPACED.findall(text)
-        return PIECE.findall(text.lower())
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        cut = [self.pieces(text) for text in texts]
-        known = self.known
-        new = list({piece for pieces in cut for piece in pieces} - known.keys())
-        for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[piece] = np.asarray(found.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join([known[p] for p in pieces]), "<u4") for pieces in cut]
+            found = map(self.whole, SPACED.findall(text))
+        else:
+            found = map(self.words.__getitem__, text.lower().split())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        for cache in (self.words, self.runs):
+            if len(cache) > CACHE_ENTRIES:
+                cache.clear()
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -84,7 +120,7 @@ def _tokenise(path: str, end_id: int):
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                lists = [np.append(ids, np.uint32(end_id)) for ids in encoder(path).encode(texts)]
+                lists = [np.append(encoder(path).encode(t), np.uint32(end_id)) for t in texts]
                 lengths = np.array([len(ids) for ids in lists], "int32")
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("int32")
                 flat = np.concatenate(lists).astype("int32") if lists else np.empty(0, "int32")
@@ -98,6 +134,7 @@ def _tokenise(path: str, end_id: int):
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID,
                       key: str = "doc_id", text: str = "text") -> None:
     """Write doc_id, n_tokens and ids of every document, ascending by doc_id, as Parquet files."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # Spark sorts by the raw id list only among rows of one doc_id.
     (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
