@@ -54,18 +54,6 @@ def byte_symbols() -> dict[int, str]:
     return {c: "".join(symbol[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
-class Computed(dict):
-    """A dictionary that computes what it lacks."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.compute(key)
-        return value
-
-
 class PieceEncoder:
     """Ids of whole texts by a ``tokenizers`` file, as uint32 arrays.
 
@@ -82,7 +70,8 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.symbols = byte_symbols()
-        self.words, self.runs = Computed(self.word), Computed(self.run)
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -95,14 +84,19 @@ class PieceEncoder:
     def word(self, word: str) -> bytes:
         if "'" in word:
             return self.whole(word)
-        return b"".join(map(self.runs.__getitem__, PIECE.findall(word)))
+        runs, cut = self.runs, PIECE.findall(word)
+        for run in cut:
+            if run not in runs:
+                runs[run] = self.run(run)
+        return b"".join([runs[run] for run in cut])
 
     def encode(self, text: str) -> np.ndarray:
         if "<|" in text or PLAIN.search(text):
-            found = map(self.whole, SPACED.findall(text))
-        else:
-            found = map(self.words.__getitem__, text.lower().split())
-        ids = np.frombuffer(b"".join(found), "<u4")
+            return np.frombuffer(b"".join(map(self.whole, SPACED.findall(text))), "<u4")
+        known, words = self.words, text.lower().split()
+        for word in set(words).difference(known):
+            known[word] = self.word(word)
+        ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
         for cache in (self.words, self.runs):
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
