@@ -1 +1 @@
-from skytally.llm import quality, sharding, token_files, urls  # noqa: F401
+from skytally.llm import merkle, quality, sharding, token_files, urls  # noqa: F401
