@@ -33,12 +33,12 @@ KINDS = (*BASE_KINDS, "id", "name")
 
 # A match of the base pattern starts where a run starts, or where the match before it ended.
 LOCAL, DOMAIN = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
-EMAIL = f"(?:\\G|(?<!{LOCAL})){LOCAL}++@{DOMAIN}++[.]{DOMAIN}++(?:[.A-Za-z0-9-]*+(?<=[A-Za-z0-9-])|)"
+EMAIL = f"(?:\\G|(?<!{LOCAL})){LOCAL}++@{DOMAIN}++(?:[.]{DOMAIN}++)++"
 IP = "(?<![0-9])[0-9]++[.][0-9]++[.][0-9]++[.][0-9]++"
 # Digit groups joined by single separators, whole, of 13 to 19 digits.
 CARD = "(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 PHONE = "[+][0-9][ ().0-9-]+[0-9]"
-ID = "(?<![A-Za-z0-9+.-])[0-9A-Z](?:[ .-]?[0-9A-Z]){6,33}(?![A-Za-z0-9]|[ .-][0-9])"
+ID = "(?<![A-Za-z0-9+.-])(?:[A-Z]{2})?[0-9](?:[ .-]?[0-9A-Z]){5,33}(?![A-Za-z0-9]|[ .-][0-9])"
 NAME = "(?<![A-Za-z])[A-Z][a-z]{1,15}[.]? [A-Z][a-z]{1,20}(?![a-z])"
 
 # Word lists of the labelers.
@@ -137,6 +137,16 @@ def _votes(kind: Column, match: Column, before: Column) -> list[Column]:
     return [shape, gazetteer, context, around]
 
 
+def _described(kind: str, found: Column, valid) -> Column:
+    """The valid matches of a kind with votes and features; length and digit share in thirds."""
+    kept = F.filter(found, lambda s: valid(s["match"])) if valid else found
+    return F.transform(kept, lambda s: F.struct(
+        F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+        F.array(*_votes(F.lit(kind), s["match"], s["before"])).alias("votes"),
+        F.least(F.length(s["match"]) / 8, F.lit(2)).cast("int").alias("length"),
+        (F.length(_digits(s["match"])) * 2 / F.length(s["match"])).cast("int").alias("digits")))
+
+
 def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ``spans``: kind, start, end, votes and features of base spans and candidates, in order."""
     rows = with_computed(docs.select(F.col(f"`{key}`").alias("doc_id"),
@@ -144,14 +154,7 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     t = F.col("text")
     parts = []
     for kind, (pattern, guard, valid) in FINDERS.items():
-        found = _found(t, pattern, guard)
-        if valid:
-            found = F.filter(found, lambda s, valid=valid: valid(s["match"]))
-        parts.append(F.transform(found, lambda s, kind=kind: F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-            F.array(*_votes(F.lit(kind), s["match"], s["before"])).alias("votes"),
-            F.least(F.length(s["match"]) / 8, F.lit(2)).cast("int").alias("length"),
-            (F.length(_digits(s["match"])) * 2 / F.length(s["match"])).cast("int").alias("digits"))))
+        parts.append(_described(kind, _found(t, pattern, guard), valid))
     base, more = F.concat(*parts[:4]), F.concat(*parts[4:])
     rows = with_computed(rows.drop("t"), {"base": base, "more": more}).drop("text")
     free = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))

@@ -1 +1 @@
-from skytally.llm import merkle, pii, quality, sharding, token_files, urls  # noqa: F401
+from skytally.llm import merkle, pii, quality, secrets, sharding, token_files, urls  # noqa: F401
