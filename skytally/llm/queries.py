@@ -1 +1 @@
-from skytally.llm import merkle, nbest, packing, pii, quality, secrets, sharding, token_files, urls  # noqa: F401
+from skytally.llm import jaccard, merkle, nbest, packing, pii, quality, secrets, sharding, token_files, urls  # noqa: F401
