@@ -10,6 +10,7 @@ exact copies are one set however many rows they are.
    shingles. Here the order is: not in the bitmap first, then by hash; shared passages and licence
    lines come last and rarely enter the prefix. Prefixes are dealt by shingle, those in the bitmap
    salted by digest, sorted, and streamed; only shingles shared by several sets are kept.
+   A pair is taken up only if sizes and ranks of the shingle allow the overlap a link needs.
 3. Every set is compared with the first set of its bucket. The links found give components, and
    these are cut into groups of at most about ``GROUP_SETS`` sets: similar documents.
 4. The token-group matrix: a group is stored with the union of its sets. A set meets the groups of
@@ -42,11 +43,12 @@ from skytally.session import cut_lineage
 
 SHINGLE = 5
 CHUNK_SHINGLES = 2_000_000
-CHUNK_COPIES, HOT_COPIES = 3, 12
+CHUNK_COPIES, HOT_COPIES = 2, 6
 BITMAP_BITS = 24
 HOT_SHINGLES = 1 << 20
 SALTS = 16
 GROUP_SETS = 128
+LONG_BUCKET = 1000
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], "u8")
@@ -85,11 +87,22 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 75 * (len(a) + len(b) - both)
 
 
-def in_bitmap(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    at = (tokens & np.uint64((1 << BITMAP_BITS) - 1)).astype("i8")
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = (values.astype("u8") & np.uint64((1 << BITMAP_BITS) - 1)).astype("i8")
     return (bitmap[at >> 6] >> (at & 63).astype("u8")) & np.uint64(1) == 1
 
 
+def bitmap_of(values: DataFrame, column: str) -> np.ndarray:
+    """A bit for the low BITMAP_BITS bits of each value: 2^(BITMAP_BITS - 3) bytes, whatever the input."""
+    place = F.col(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    words = (values.select(F.shiftright(place, 6).alias("word"),
+                           F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), "u8")
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype("i8").view("u8")
+    return bitmap
+
+
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     fields = [c.split() for c in schema.split(", ")]
@@ -142,17 +155,10 @@ def _frequent_bitmap(profile: DataFrame) -> np.ndarray:
         if total + row["count"] > HOT_SHINGLES and total:
             break
         total, least = total + row["count"], row["step"]
-    place = F.col("token").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    words = (sums.filter(F.floor(F.log2("copies")) >= least)
-             .select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(token & 63 as int))").alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), "u8")
-    for row in words.toLocalIterator():  # at most 2^18 rows
-        bitmap[row["word"]] = np.int64(row["bits"]).view("u8")
-    return bitmap
+    return bitmap_of(sums.filter(F.floor(F.log2("copies")) >= least), "token")
 
 
-PREFIX = "token long, bucket long, digest long, n int"
+PREFIX = "token long, bucket long, digest long, n int, rank int"
 
 
 def _prefixes(bitmap: np.ndarray):
@@ -176,66 +182,94 @@ def _prefixes(bitmap: np.ndarray):
                 salted = (rest + np.uint64(1 + key % SALTS)) * _MULTIPLIERS[1]
                 first = np.concatenate([rare, rest])
                 out.append([first, np.concatenate([rare, salted]), np.full(len(first), key, "i8"),
-                            np.full(len(first), len(tokens), "i4")])
+                            np.full(len(first), len(tokens), "i4"), np.arange(len(first), dtype="i4")])
             if out:
-                token, bucket, key, n = (np.concatenate(c) for c in zip(*out))
-                yield _batch(PREFIX, [token.view("i8"), bucket.view("i8"), key, n])
+                token, bucket, key, n, rank = (np.concatenate(c) for c in zip(*out))
+                yield _batch(PREFIX, [token.view("i8"), bucket.view("i8"), key, n, rank])
     return run
 
 
-SHARED = "token long, digest long, n int, first long, first_n int"
+SHARED = "token long, digest long, n int, rank int, first long, first_n int, first_rank int"
+
+
+def compatible(n, rank, other_n, other_rank):
+    """Whether sets of these sizes can link when their first common shingle has these ranks.
+
+    The shingles from there on bound the overlap, which a link needs to be 3/7 of both sizes.
+    """
+    least = np.minimum(n - rank, other_n - other_rank)
+    return (3 * n <= 4 * other_n) & (3 * other_n <= 4 * n) & (7 * least >= 3 * (n + other_n))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by bucket and digest, those in buckets of several sets, with the bucket's first.
+    """Of rows sorted by bucket and digest, those that a row of their shingle can link to, with the
+    bucket's first row.
 
-    Salted buckets are kept also with one set, as the shingle has others.
+    Rows of salted buckets and of buckets above LONG_BUCKET rows are all kept: the shingle has other
+    buckets, or the rows stream through without being held.
     """
-    last = None  # bucket, digest, first, first_n, whether the first was given out
+    def run(rows: np.ndarray, first: np.ndarray | None) -> np.ndarray:
+        """Columns of a bucket's rows to give out; ``first`` is set for all but a long bucket's start."""
+        keep = rows
+        if first is None:
+            first = rows[:, 0]
+            if rows[0, 0] == rows[1, 0]:  # not salted
+                n, rank = rows[3], rows[4]
+                fits = compatible(n[:, None], rank[:, None], n[None], rank[None])
+                np.fill_diagonal(fits, False)
+                keep = rows[:, fits.any(0)]
+        return np.vstack([keep[0], keep[2:5], np.repeat(first[2:5, None], keep.shape[1], 1)])
+
+    held, long = np.empty((5, 0), "i8"), None  # long: first row of a bucket that is given out already
     for batch in batches:
-        token, bucket, key, n = (batch.column(c).to_numpy() for c in range(4))
-        if not len(bucket):
-            continue
-        fresh = np.ones(len(bucket), bool)
-        fresh[1:] = bucket[1:] != bucket[:-1]
-        again = np.zeros(len(bucket), bool)
-        again[1:] = ~fresh[1:] & (key[1:] == key[:-1])
-        if last and bucket[0] == last[0]:
-            fresh[0], again[0] = False, key[0] == last[1]
-        at = np.maximum.accumulate(np.where(fresh, np.arange(len(bucket)), -1))
-        first, first_n = key[np.maximum(at, 0)], n[np.maximum(at, 0)]
-        if last:
-            first, first_n = np.where(at < 0, last[2], first), np.where(at < 0, last[3], first_n)
-        salted = token != bucket
-        other = ~fresh & ~again & (first != key)
-        # A first is given when it starts a salted bucket, or with the second set of its bucket.
-        runs = np.where(at < 0, -1, at)
-        given = {int(r) for r in np.unique(runs[other])} | {int(r) for r in np.flatnonzero(fresh & salted)}
-        carried = last[4] if last else True
-        heads = sorted(r for r in given if r >= 0)
-        columns = [token[other], key[other], n[other], first[other], first_n[other]]
-        lead = [token[heads], key[heads], n[heads], key[heads], n[heads]]
-        if -1 in given and not carried:
-            lead = [np.append(c, v) for c, v in zip(lead, (token[0], last[2], last[3], last[2], last[3]))]
-            carried = True
-        yield _batch(SHARED, [np.concatenate(c) for c in zip(columns, lead)])
-        whole = at[-1] >= 0
-        last = (bucket[-1], key[-1], first[-1], first_n[-1], int(at[-1]) in given if whole else carried)
+        rows = np.vstack([batch.column(c).to_numpy().astype("i8") for c in range(5)])
+        rows = np.hstack([held, rows])
+        fresh = np.ones(rows.shape[1], bool)
+        fresh[1:] = (rows[1, 1:] != rows[1, :-1]) | (rows[2, 1:] != rows[2, :-1])
+        rows = rows[:, fresh]  # a set once per bucket
+        cuts = np.flatnonzero(np.diff(rows[1])) + 1
+        edges = [0, *cuts.tolist(), rows.shape[1]]
+        out = []
+        for a, b in zip(edges[:-2], edges[1:-1]):
+            same = long is not None and rows[1, a] == long[1]
+            if same or b - a > 1 or rows[0, a] != rows[1, a]:
+                out.append(run(rows[:, a:b], long if same else None))
+        held = rows[:, edges[-2]:]
+        if held.shape[1] > LONG_BUCKET:
+            if long is None or held[1, 0] != long[1]:
+                long = held[:, 0].copy()
+            out.append(run(held[:, :-1], long))
+            held = held[:, -1:]  # kept to know the next row of the same set
+        if out:
+            yield _batch(SHARED, list(np.hstack(out)))
+    if held.shape[1]:
+        same = long is not None and held[1, 0] == long[1]
+        if same or held.shape[1] > 1 or held[0, 0] != held[1, 0]:
+            yield _batch(SHARED, list(run(held, long if same else None)))
 
 
 SETS = "digest long, n int, tokens binary"
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            found = [shingles(text) for text in batch.column("text").slice(at, 500).to_pylist()]
-            yield _batch(SETS, [batch.column("digest").slice(at, 500), [len(t) for t in found],
-                                [t.tobytes() for t in found]])
+def _sets(wanted: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets of the documents whose id is in the bitmap."""
+        for batch in batches:
+            doc = batch.column("doc_id")
+            picked = np.flatnonzero(in_bitmap(wanted, doc.fill_null(0).to_numpy()))
+            texts = batch.column("text").take(pa.array(picked))
+            for at in range(0, len(texts), 500):
+                found = [t for t in map(shingles, texts.slice(at, 500).to_pylist()) if len(t)]
+                if found:
+                    yield _batch(SETS, [[digest(t) for t in found], [len(t) for t in found],
+                                        [t.tobytes() for t in found]])
+    return run
 
 
-def _similar_size(a: str, b: str):
-    return (3 * F.col(a) <= 4 * F.col(b)) & (3 * F.col(b) <= 4 * F.col(a))
+def _compatible(n: str, rank: str, other_n: str, other_rank: str):
+    n, rank, other_n, other_rank = map(F.col, (n, rank, other_n, other_rank))
+    return ((3 * n <= 4 * other_n) & (3 * other_n <= 4 * n)
+            & (7 * F.least(n - rank, other_n - other_rank) >= 3 * (n + other_n)))
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,18 +304,28 @@ def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch("group long, tokens binary", [[group], [held.tobytes()]])
 
 
+BOUNDED = "u long, n int, group long, only long, link boolean"
+
+
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set, group) rows whose overlap with the group's union allows a link."""
+    """(set, group) rows whose overlap with the group's union allows a link.
+
+    For a group of one set the overlap decides: ``link`` tells.
+    """
     for batch in batches:
-        fits = []
-        for tokens, union in zip(batch.column("tokens"), batch.column("group_tokens")):
+        fits, links = [], []
+        columns = (batch.column(c).to_pylist() for c in ("members", "group"))
+        for tokens, union, members, _ in zip(batch.column("tokens"), batch.column("group_tokens"), *columns):
             a, b = np.frombuffer(tokens.as_buffer(), "u8"), np.frombuffer(union.as_buffer(), "u8")
             at = np.searchsorted(b, a)
             both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-            fits.append(both >= (3 * len(a) + 3) // 4)
+            link = members == 1 and 100 * both >= 75 * (len(a) + len(b) - both)
+            fits.append(link or members > 1 and both >= (3 * len(a) + 3) // 4)
+            links.append(link)
         mask = pa.array(fits, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("u", "n", "group")],
-                                         names=["u", "n", "group"])
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(c).filter(mask) for c in ("u", "n", "group", "only")], pa.array(links, pa.bool_()).filter(mask)],
+            names=["u", "n", "group", "only", "link"])
 
 
 def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,13 +340,13 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     prefixes = rows.select("text").mapInArrow(_prefixes(bitmap), PREFIX)
     shared = cut_lineage(
         prefixes.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_shared, SHARED))
+    # The sets of all that can link, from one document each; ids the bitmap adds do no harm.
     wanted = shared.select("digest").distinct()
     holders = known.join(wanted, "digest").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    # Rows with equal doc_id can hold different texts: all are read and the digest decides.
-    texts = rows.join(holders, "doc_id").select("digest", "text")
-    sets = cut_lineage(texts.mapInArrow(_sets, SETS).dropDuplicates(["digest"]))
+    sets = cut_lineage(rows.mapInArrow(_sets(bitmap_of(holders, "doc_id")), SETS))
 
-    stars = (shared.filter(F.col("digest") != F.col("first")).filter(_similar_size("n", "first_n"))
+    stars = (shared.filter(F.col("digest") != F.col("first"))
+             .filter(_compatible("n", "rank", "first_n", "first_rank"))
              .select(F.col("digest").alias("u"), F.col("first").alias("v")).distinct())
     links = cut_lineage(_links(stars, sets))
     roots = cut_lineage(connected_components(links))
@@ -310,38 +354,43 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     # Groups: components cut by digest into parts of about GROUP_SETS; a set alone is its own group.
     sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / GROUP_SETS).alias("parts"))
     member = cut_lineage(
-        sets.select("digest", "n").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+        shared.select("digest", "n").distinct().join(roots.withColumnRenamed("node", "digest"), "digest", "left")
         .join(sizes, "root", "left")
         .select("digest", "n", F.coalesce("root", "digest").alias("root"), F.when(
             F.col("parts").isNull(), F.col("digest")).otherwise(
             F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.col("parts")))).alias("group")))
-    held = shared.select("token", "digest").join(member, "digest")
+    held = shared.select("token", "digest", "rank").join(member, "digest")
     mixed = held.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     held = cut_lineage(held.join(mixed, "token"))
     groups = held.groupBy("token", "group").agg(
-        F.first("root").alias("group_root"), F.min("n").alias("least"), F.max("n").alias("most"))
+        F.first("root").alias("group_root"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.max(F.col("n") - F.col("rank")).alias("behind"))
     alone = member.groupBy("group").agg(F.count("*").alias("members"), F.min("digest").alias("only"))
+    # As ``compatible``, by what the group's members can have at most.
+    smallest = F.greatest(4 * F.col("least"), 3 * F.col("n"))
     meets = (held.withColumnRenamed("group", "own").join(groups, "token")
              .filter((F.col("root") != F.col("group_root"))
-                     & (3 * F.col("n") <= 4 * F.col("most")) & (3 * F.col("least") <= 4 * F.col("n")))
+                     & (3 * F.col("n") <= 4 * F.col("most")) & (3 * F.col("least") <= 4 * F.col("n"))
+                     & (28 * F.least(F.col("n") - F.col("rank"), F.col("behind")) >= 3 * (4 * F.col("n") + smallest)))
              .select(F.col("digest").alias("u"), "n", "own", "group").distinct())
     # Two sets alone meet once, not from either side.
     solo = alone.select(F.col("group").alias("own"), (F.col("members") == 1).alias("u_alone"))
-    meets = (meets.join(solo, "own").join(alone.select("group", "members"), "group")
-             .filter(~((F.col("members") == 1) & F.col("u_alone") & (F.col("own") > F.col("group"))))
-             .select("u", "n", "group"))
+    meets = cut_lineage(
+        meets.join(solo, "own").join(alone, "group")
+        .filter(~((F.col("members") == 1) & F.col("u_alone") & (F.col("own") > F.col("group"))))
+        .select("u", "n", "group", "members", "only"))
     needed = meets.select("group").distinct()
-    unions = (sets.join(member.select("digest", "group"), "digest").join(needed, "group", "left_semi")
+    unions = (sets.select("digest", "tokens").join(member.join(needed, "group", "left_semi").select("digest", "group"), "digest")
               .select("group", "tokens").repartition("group").sortWithinPartitions("group")
               .mapInArrow(_unions, "group long, tokens binary"))
     unions = unions.withColumnRenamed("tokens", "group_tokens")
-    opened = (meets.join(sets.select(F.col("digest").alias("u"), "tokens"), "u").join(unions, "group")
-              .select("u", "n", "group", "tokens", "group_tokens")
-              .mapInArrow(_bounded, "u long, n int, group long"))
-    pairs = (opened.join(member.select("group", F.col("digest").alias("v"), F.col("n").alias("v_n")), "group")
-             .filter(_similar_size("n", "v_n"))
-             .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    more = _links(cut_lineage(pairs), sets)
+    opened = cut_lineage(
+        meets.join(sets.select(F.col("digest").alias("u"), "tokens"), "u").join(unions, "group")
+        .select("u", "n", "group", "members", "only", "tokens", "group_tokens").mapInArrow(_bounded, BOUNDED))
+    pairs = (opened.filter("not link").join(member.select("group", F.col("digest").alias("v"), F.col("n").alias("v_n")), "group")
+             .filter((3 * F.col("n") <= 4 * F.col("v_n")) & (3 * F.col("v_n") <= 4 * F.col("n")))
+             .select("u", "v").distinct())
+    more = opened.filter("link").select("u", F.col("only").alias("v")).unionByName(_links(pairs, sets))
 
     final = connected_components(links.unionByName(more)).withColumnRenamed("node", "digest")
     placed = known.join(final, "digest", "left").withColumn("class", F.coalesce("root", "digest"))
