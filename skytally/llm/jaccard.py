@@ -16,7 +16,9 @@ exact copies are one set however many rows they are.
 4. The token-group matrix: a group is stored with the union of its sets. A set meets the groups of
    other components with which it shares a prefix shingle; as ``|A ∩ B| <= |A ∩ union|``, a group is
    opened, and its members compared, only if the set has ``ceil(3n/4)`` shingles in the union.
-   A pair within a component needs no comparison: it is linked already.
+   A pair within a component needs no comparison: it is linked already. Unions and first
+   comparisons use the shingles' low 16 bits, which can only overstate an overlap; the pairs left
+   are compared by whole shingles.
 5. All links give the components of the result.
 
 No step holds a bucket or a component in one task, and nothing but the bitmap (fixed size) and counts
@@ -82,11 +84,6 @@ def prefix_length(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= 75 * (len(a) + len(b) - both)
-
-
 def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = (values.astype("u8") & np.uint64((1 << BITMAP_BITS) - 1)).astype("i8")
     return (bitmap[at >> 6] >> (at & 63).astype("u8")) & np.uint64(1) == 1
@@ -158,7 +155,25 @@ def _frequent_bitmap(profile: DataFrame) -> np.ndarray:
     return bitmap_of(sums.filter(F.floor(F.log2("copies")) >= least), "token")
 
 
-PREFIX = "token long, bucket long, digest long, n int, rank int"
+PREFIX = "bucket long, digest long, place long"  # place: size, rank and whether the bucket is salted
+RANK_BITS = 31
+
+
+def salted_bucket(tokens: np.ndarray, key) -> np.ndarray:
+    return (tokens + (1 + key % SALTS)) * _MULTIPLIERS[1]
+
+
+def unsalted(buckets: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    inverse = np.uint64(pow(int(_MULTIPLIERS[1]), -1, 1 << 64))
+    return buckets * inverse - (1 + keys % SALTS).astype("u8")
+
+
+def unpacked(batch: pa.RecordBatch) -> np.ndarray:
+    """Rows token, bucket, digest, n, rank of a PREFIX batch."""
+    bucket, key, place = (batch.column(c).to_numpy() for c in range(3))
+    n, rank = np.abs(place) >> RANK_BITS, np.abs(place) & ((1 << RANK_BITS) - 1)
+    token = np.where(place < 0, unsalted(bucket.view("u8"), key).view("i8"), bucket)
+    return np.vstack([token, bucket, key, n, rank])
 
 
 def _prefixes(bitmap: np.ndarray):
@@ -179,13 +194,13 @@ def _prefixes(bitmap: np.ndarray):
                 rare = tokens[~hot][:size]
                 rest = tokens[hot][:size - len(rare)]
                 # A frequent shingle's bucket is dealt over SALTS tasks by the sets' digests.
-                salted = (rest + np.uint64(1 + key % SALTS)) * _MULTIPLIERS[1]
-                first = np.concatenate([rare, rest])
-                out.append([first, np.concatenate([rare, salted]), np.full(len(first), key, "i8"),
-                            np.full(len(first), len(tokens), "i4"), np.arange(len(first), dtype="i4")])
+                place = (len(tokens) << RANK_BITS) + np.arange(len(rare) + len(rest), dtype="i8")
+                place[len(rare):] *= -1
+                out.append([np.concatenate([rare, salted_bucket(rest, np.uint64(key % SALTS))]),
+                            np.full(len(place), key, "i8"), place])
             if out:
-                token, bucket, key, n, rank = (np.concatenate(c) for c in zip(*out))
-                yield _batch(PREFIX, [token.view("i8"), bucket.view("i8"), key, n, rank])
+                bucket, key, place = (np.concatenate(c) for c in zip(*out))
+                yield _batch(PREFIX, [bucket.view("i8"), key, place])
     return run
 
 
@@ -222,8 +237,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held, long = np.empty((5, 0), "i8"), None  # long: first row of a bucket that is given out already
     for batch in batches:
-        rows = np.vstack([batch.column(c).to_numpy().astype("i8") for c in range(5)])
-        rows = np.hstack([held, rows])
+        rows = np.hstack([held, unpacked(batch)])
         fresh = np.ones(rows.shape[1], bool)
         fresh[1:] = (rows[1, 1:] != rows[1, :-1]) | (rows[2, 1:] != rows[2, :-1])
         rows = rows[:, fresh]  # a set once per bucket
@@ -248,7 +262,23 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(SHARED, list(run(held, long if same else None)))
 
 
-SETS = "digest long, n int, tokens binary"
+SETS = "digest long, n int, tokens binary, brief binary"
+
+
+def brief(tokens: np.ndarray) -> np.ndarray:
+    """The shingles' low 16 bits, sorted, repeats kept: their overlap is at least the sets'."""
+    return np.sort(tokens.astype("u2"))
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Overlap of two sorted arrays with repeats."""
+    both = np.concatenate([a, b])
+    if len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b):
+        both.sort()
+        return int((both[1:] == both[:-1]).sum())
+    (x, m), (y, n) = (np.unique(c, return_counts=True) for c in (a, b))
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(m[i], n[j]).sum())
 
 
 def _sets(wanted: np.ndarray):
@@ -262,7 +292,7 @@ def _sets(wanted: np.ndarray):
                 found = [t for t in map(shingles, texts.slice(at, 500).to_pylist()) if len(t)]
                 if found:
                     yield _batch(SETS, [[digest(t) for t in found], [len(t) for t in found],
-                                        [t.tobytes() for t in found]])
+                                        [t.tobytes() for t in found], [brief(t).tobytes() for t in found]])
     return run
 
 
@@ -272,60 +302,64 @@ def _compatible(n: str, rank: str, other_n: str, other_rank: str):
             & (7 * F.least(n - rank, other_n - other_rank) >= 3 * (n + other_n)))
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        u, v, left, right = (batch.column(c) for c in range(4))
-        hits = np.array([linked(np.frombuffer(a.as_buffer(), "u8"), np.frombuffer(b.as_buffer(), "u8"))
-                         for a, b in zip(left, right)], bool)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(hits)) for c in (u, v)], names=["u", "v"])
+def _compared(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs whose overlap, or the bound the brief forms give, is enough for a link."""
+        for batch in batches:
+            u, v, left, right = (batch.column(c) for c in range(4))
+            hits = []
+            for x, y in zip(left, right):
+                a, b = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
+                both = common(a, b)
+                hits.append(100 * both >= 75 * (len(a) + len(b) - both))
+            mask = pa.array(hits, pa.bool_())
+            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in (u, v)], names=["u", "v"])
+    return run
+
+
+def _pass(pairs: DataFrame, sets: DataFrame, column: str, kind: str) -> DataFrame:
+    side = lambda c: sets.select(F.col("digest").alias(c), F.col(column).alias(f"{c}_set"))
+    return (pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_set", "v_set")
+            .mapInArrow(_compared(kind), "u long, v long"))
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) of digests whose sets link."""
-    side = lambda c: sets.select(F.col("digest").alias(c), F.col("tokens").alias(f"{c}_tokens"))
-    return (pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_tokens", "v_tokens")
-            .mapInArrow(_compared, "u long, v long"))
+    """The pairs (u, v) of digests whose sets link: by the brief forms first, then exactly."""
+    return _pass(cut_lineage(_pass(pairs, sets, "brief", "u2")), sets, "tokens", "u8")
 
 
 def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unions of runs of rows sorted by group."""
-    held, group = np.empty(0, "u8"), None
+    """Unions of runs of rows sorted by group, in brief form."""
+    held, group = np.empty(0, "u2"), None
     for batch in batches:
         done = []
-        for g, tokens in zip(batch.column("group").to_pylist(), batch.column("tokens")):
+        for g, form in zip(batch.column("group").to_pylist(), batch.column("brief")):
             if g != group:
                 if group is not None:
                     done.append((group, held.tobytes()))
-                held, group = np.empty(0, "u8"), g
-            held = np.union1d(held, np.frombuffer(tokens.as_buffer(), "u8"))
+                held, group = np.empty(0, "u2"), g
+            held = np.union1d(held, np.frombuffer(form.as_buffer(), "u2"))
         if done:
-            yield _batch("group long, tokens binary", list(zip(*done)))
+            yield _batch("group long, union binary", list(zip(*done)))
     if group is not None:
-        yield _batch("group long, tokens binary", [[group], [held.tobytes()]])
+        yield _batch("group long, union binary", [[group], [held.tobytes()]])
 
 
-BOUNDED = "u long, n int, group long, only long, link boolean"
+BOUNDED = "u long, n int, group long"
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set, group) rows whose overlap with the group's union allows a link.
-
-    For a group of one set the overlap decides: ``link`` tells.
-    """
+    """(set, group) rows in which enough of the set is in the group's union for a link."""
     for batch in batches:
-        fits, links = [], []
-        columns = (batch.column(c).to_pylist() for c in ("members", "group"))
-        for tokens, union, members, _ in zip(batch.column("tokens"), batch.column("group_tokens"), *columns):
-            a, b = np.frombuffer(tokens.as_buffer(), "u8"), np.frombuffer(union.as_buffer(), "u8")
+        fits = []
+        for form, union in zip(batch.column("brief"), batch.column("union")):
+            a, b = np.frombuffer(form.as_buffer(), "u2"), np.frombuffer(union.as_buffer(), "u2")
             at = np.searchsorted(b, a)
             both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-            link = members == 1 and 100 * both >= 75 * (len(a) + len(b) - both)
-            fits.append(link or members > 1 and both >= (3 * len(a) + 3) // 4)
-            links.append(link)
+            fits.append(both >= (3 * len(a) + 3) // 4)
         mask = pa.array(fits, pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c).filter(mask) for c in ("u", "n", "group", "only")], pa.array(links, pa.bool_()).filter(mask)],
-            names=["u", "n", "group", "only", "link"])
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("u", "n", "group")],
+                                         names=["u", "n", "group"])
 
 
 def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -378,19 +412,18 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     meets = cut_lineage(
         meets.join(solo, "own").join(alone, "group")
         .filter(~((F.col("members") == 1) & F.col("u_alone") & (F.col("own") > F.col("group"))))
-        .select("u", "n", "group", "members", "only"))
+        .select("u", "n", "group"))
     needed = meets.select("group").distinct()
-    unions = (sets.select("digest", "tokens").join(member.join(needed, "group", "left_semi").select("digest", "group"), "digest")
-              .select("group", "tokens").repartition("group").sortWithinPartitions("group")
-              .mapInArrow(_unions, "group long, tokens binary"))
-    unions = unions.withColumnRenamed("tokens", "group_tokens")
+    unions = (sets.select("digest", "brief").join(member.join(needed, "group", "left_semi").select("digest", "group"), "digest")
+              .select("group", "brief").repartition("group").sortWithinPartitions("group")
+              .mapInArrow(_unions, "group long, union binary"))
     opened = cut_lineage(
-        meets.join(sets.select(F.col("digest").alias("u"), "tokens"), "u").join(unions, "group")
-        .select("u", "n", "group", "members", "only", "tokens", "group_tokens").mapInArrow(_bounded, BOUNDED))
-    pairs = (opened.filter("not link").join(member.select("group", F.col("digest").alias("v"), F.col("n").alias("v_n")), "group")
+        meets.join(sets.select(F.col("digest").alias("u"), "brief"), "u").join(unions, "group")
+        .select("u", "n", "group", "brief", "union").mapInArrow(_bounded, BOUNDED))
+    pairs = (opened.join(member.select("group", F.col("digest").alias("v"), F.col("n").alias("v_n")), "group")
              .filter((3 * F.col("n") <= 4 * F.col("v_n")) & (3 * F.col("v_n") <= 4 * F.col("n")))
              .select("u", "v").distinct())
-    more = opened.filter("link").select("u", F.col("only").alias("v")).unionByName(_links(pairs, sets))
+    more = _links(pairs, sets)
 
     final = connected_components(links.unionByName(more)).withColumnRenamed("node", "digest")
     placed = known.join(final, "digest", "left").withColumn("class", F.coalesce("root", "digest"))

@@ -134,10 +134,11 @@ def test_components(spark):
 def test_shared_stream_is_independent_of_batches():
     import pyarrow as pa
     rng = random.Random(4)
-    rows = sorted({(b, b + (b % 5 == 0), rng.randrange(30), 20, rng.randrange(3)) for b in range(40)
-                   for _ in range(rng.choice([1, 2, 8]))}, key=lambda r: (r[1], r[2]))
-    sizes = {}
-    rows = [(*r[:3], sizes.setdefault(r[2], r[3]), r[4]) for r in rows]
+    rows = []
+    for bucket in range(40):
+        for key in sorted({rng.randrange(30) for _ in range(rng.choice([1, 2, 8]))}):
+            place = (20 + key % 3 << jaccard.RANK_BITS) + rng.randrange(3)
+            rows.append((bucket, key, -place if bucket % 5 == 0 else place))
 
     def run(step):
         parts = [jaccard._batch(jaccard.PREFIX, list(zip(*rows[i:i + step]))) for i in range(0, len(rows), step)]
@@ -147,6 +148,17 @@ def test_shared_stream_is_independent_of_batches():
     assert run(1) == run(7) == run(1000)
 
 
+def test_salts_and_brief_forms():
+    rng = np.random.default_rng(3)
+    tokens, keys = rng.integers(0, 1 << 63, 50).astype("u8"), rng.integers(-(1 << 62), 1 << 62, 50)
+    buckets = np.array([jaccard.salted_bucket(t, np.uint64(k % jaccard.SALTS)) for t, k in zip(tokens, keys)], "u8")
+    assert (jaccard.unsalted(buckets, keys) == tokens).all()
+    for _ in range(20):
+        a, b = (np.unique(rng.integers(0, 1 << 20, 3000).astype("u8")) for _ in range(2))
+        exact = len(np.intersect1d(a, b))
+        assert jaccard.common(a, b) == exact <= jaccard.common(jaccard.brief(a), jaccard.brief(b))
+
+
 # 3 token files
 def test_token_files(spark, odd_docs, odd_rows, no_docs):
     from tokenizers import Tokenizer
