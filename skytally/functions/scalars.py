@@ -74,7 +74,7 @@ def to_whole(column: Column) -> Column:
 
 def text_number(column: Column) -> Column:
     """``CAST(NULLIF(x, '') AS FLOAT)`` over a text column."""
-    return F.nullif(column, F.lit("")).try_cast("double")
+    return to_number(F.nullif(column, F.lit("")))
 
 
 def percentage(part: Column, whole: Column, digits: int = 2) -> Column:

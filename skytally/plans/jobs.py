@@ -249,7 +249,7 @@ def run_etl(
             lake.path("processed_files")
         )
     except Exception as error:
-        runlog.log_event(spark, events, "ERROR", "cli", "etl_failed", error=str(error)[:500], **labels)
+        runlog.log_event(spark, events, "ERROR", "cli", "etl_failed", error=str(error), **labels)
         runlog.record_run(
             spark, log, stage=stage, status="failed",
             duration_seconds=round(time.monotonic() - started, 3), **labels,

@@ -23,7 +23,7 @@ def record_run(
         v.strip().lower() for v in (source, endpoint, stage, status)
     )
     if status not in {"success", "failed"}:
-        raise ValueError("status must be either 'success' or 'failed'")
+        raise ValueError("unknown run status; use 'success' or 'failed'")
     row = (
         source, endpoint, stage, status, run_id, finished_at or datetime.now(timezone.utc),
         float(duration_seconds), records_processed,

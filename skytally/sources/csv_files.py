@@ -26,10 +26,6 @@ def _clean_name(name: str) -> str:
     return name.replace("\ufeff", "").strip()
 
 
-def _clean_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[_clean_name(c) for c in df.columns])
-
-
 def utf8_or_latin1(column: Column) -> Column:
     """Text scanned as Latin-1 (which keeps every byte) read as UTF-8 where the bytes allow it."""
     as_utf8 = F.try_validate_utf8(F.encode(column, "ISO-8859-1").cast("string"))
@@ -78,10 +74,19 @@ def scan_history(
 
 
 def scan_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``Flight_Points_Filed_*.csv`` below the folder, typed by contract."""
-    options = dict(header=True, recursiveFileLookup=True, pathGlobFilter="Flight_Points_Filed_*.csv")
-    raw = _clean_names(spark.read.options(**options).csv(folder))
-    return raw.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in POINTS])
+    """Every ``Flight_Points_Filed_*.csv`` below the folder, typed by contract.
+
+    Files are grouped by header, so each is read by its own column order.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in list_files(spark, folder, "Flight_Points_Filed_*.csv", recursive=True).toLocalIterator():
+        groups.setdefault(_header(spark, row.path), []).append(row.path)
+    scans = [
+        _scan_text(spark, paths, names).select(
+            [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in POINTS])
+        for names, paths in groups.items()
+    ]
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], POINTS)
 
 
 def scan_airports(spark: SparkSession, path: str) -> DataFrame:

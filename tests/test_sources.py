@@ -97,6 +97,14 @@ def test_history_encodings_headers_and_rejects(spark, tmp_path):
     assert [p["Latitude"] for p in points] == [48.5, None]
 
 
+def test_points_of_files_with_other_column_order(spark, tmp_path):
+    put(tmp_path, "Flight_Points_Filed_1.csv", "ECTRL ID,Sequence Number,Latitude,Longitude\n5,0,48.5,2.5\n")
+    put(tmp_path, "Flight_Points_Filed_2.csv", "Sequence Number,ECTRL ID,Longitude,Latitude\n2,6,7.5,41\n")
+    rows = csv_files.scan_points(spark, str(tmp_path)).orderBy("ECTRL ID").collect()
+    assert [tuple(r) for r in rows] == [(5, 0, 48.5, 2.5), (6, 2, 41.0, 7.5)]
+    assert csv_files.scan_points(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_airport_coordinates_first_mapping_wins(spark, tmp_path):
     put(tmp_path, "airports.csv", (
         "ident,iso_country, iata_code,icao_code,gps_code,latitude_deg,longitude_deg\n"
