@@ -66,8 +66,19 @@ def whole_of(value: Column) -> Column:
     return number_of(value).try_cast("int")
 
 
+def _truthy_text_at(doc: Column, path: str) -> Column:
+    """Text at a path, SQL NULL for false, 0, {} and []; the texts "0" and "false" stay."""
+    text = text_at(doc, path)
+    # Only a text that looks empty needs a look at its JSON type.
+    unsure = text.rlike(r"^(false|\{\}|\[\]|-?0(\.0*)?([eE][+-]?\d+)?)$")
+    is_text = F.schema_of_variant(at(doc, path)) == "STRING"
+    return F.when(~unsure | is_text, text)
+
+
 def first_text_at(doc: Column, *paths: str) -> Column:
-    return first_text(*[text_at(doc, p) for p in paths])
+    """First non-falsy value as text, the last one as it is."""
+    *heads, last = paths
+    return first_text(*[_truthy_text_at(doc, p) for p in heads], text_at(doc, last))
 
 
 def is_falsy(value: Column) -> Column:

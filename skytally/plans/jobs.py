@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally import schemas
@@ -29,22 +29,38 @@ class Lake:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-DOCUMENT_PARTITIONS = {"flights": ("flight_date",), "airlines": (), "airports": ()}
+DAY = "flight_date_folder"  # partition of the flight documents, derived from the key
+FILE_KEY, LOAD = "source_key", "load_id"  # partition and load of the history rows
 UNWRAP_MODE = {"flights": "flights", "airlines": "reference", "airports": "reference"}
 FILE, POSITION = "_file_name", "_record_ix"
 
 
+def day_folder(flight_date: Column) -> Column:
+    """The day of an ISO date, ``other`` for every other text and for null."""
+    day = F.when(flight_date.rlike(r"^\d{4}-\d{2}-\d{2}$"), flight_date.try_cast("date"))
+    return F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("other"))
+
+
+def read_documents(spark: SparkSession, lake: Lake, endpoint: str) -> DataFrame | None:
+    """The stored documents without their partition column."""
+    stored = tables.read_table(spark, lake.path(endpoint))
+    return None if stored is None else stored.drop(DAY)
+
+
 def load_documents(
     spark: SparkSession, lake: Lake, files: DataFrame, endpoint: str, source: str, run_id: str
 ) -> dict[str, int]:
-    """Upsert the records of payload files into the document table; returns the counters."""
+    """Upsert the records of payload files into the document table; returns the counters.
+
+    Keys are stored as they came; flight documents lie in folders by :func:`day_folder`.
+    """
     keyed = R.with_keys(
         R.unwrap(payloads.parse_payloads(files.select("file_name", "payload")), UNWRAP_MODE[endpoint]),
         endpoint,
     )
     keyed = keyed.persist()  # read by the counters, discovery, partition choice and the merge
     counted = merge.record_counters(keyed).agg(
-        F.count(F.lit(1)), *[F.sum(c) for c in ("records", "valid", "invalid")]
+        *[F.sum(c) for c in ("records", "valid", "invalid")]
     ).first()
     keys = R.KEY_RULES[endpoint][1]
     valid = keyed.where("is_valid")
@@ -60,14 +76,16 @@ def load_documents(
     batch = merge.spread_fields(stamped, fields)
 
     target = lake.path(endpoint)
-    partitions = DOCUMENT_PARTITIONS[endpoint]
+    partitions = (DAY,) if endpoint == "flights" else ()
     existing = tables.read_table(spark, target)
-    if existing is not None:
-        for name in keys:  # partition values are typed by inference when read back
-            existing = existing.withColumn(name, F.col(name).cast("string"))
-        for name in partitions:
-            existing = tables.touched(existing, batch, name)
+    if existing is not None and partitions:
+        # Partition values are typed by inference when read back.
+        existing = existing.withColumn(DAY, F.col(DAY).cast("string"))
+        days = batch.select(day_folder(F.col("flight_date")).alias(DAY))
+        existing = tables.touched(existing, days, DAY).drop(DAY)
     merged = merge.merge_documents(existing, batch, keys, [FILE, POSITION])
+    if partitions:
+        merged = merged.withColumn(DAY, day_folder(F.col("flight_date")))
     merged = cut_lineage(merged)
     changes = merge.change_counters(merged).first().asDict()
     tables.replace_partitions(
@@ -75,7 +93,8 @@ def load_documents(
     )
     keyed.unpersist()
     return {
-        "files": counted[0], "records": counted[1] or 0, "invalid": counted[3] or 0, **changes,
+        "files": files.select("file_name").distinct().count(),
+        "records": counted[0] or 0, "invalid": counted[2] or 0, **changes,
     }
 
 
@@ -128,21 +147,32 @@ def routes_job(
 def history_job(spark: SparkSession, lake: Lake, folder: str) -> dict[str, object]:
     """Feature-engineered history from every flight CSV; a file loaded again replaces its rows.
 
-    Files without the required columns are reported and left out; files without French domestic
-    flights add nothing.
+    Files are told apart by their whole path. Those without the required columns are reported and
+    left out; one without French domestic flights adds nothing, and its earlier rows go.
     """
     history, rejected = csv_files.scan_history(spark, folder, features.HISTORY_REQUIRED)
     if history is None:
         return {"rows": 0, "rejected": rejected}
-    name = F.regexp_extract("source_file", r"([^/]+)$", 1)
-    rows = features.history_features(history).withColumn("source_file", name)
+    # A path can be longer than a folder name may be, so the folder is named by its digest.
+    load, key = new_run_id(), F.concat(F.lit("f"), F.md5("source_file"))
+    rows = features.history_features(history).withColumns(
+        {FILE_KEY: key, LOAD: F.lit(load)})
     target = lake.path("eurocontrol_historical_data")
     (
-        rows.hint("rebalance", F.col("source_file"))
+        rows.hint("rebalance", F.col(FILE_KEY))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_file").parquet(target)
+        .partitionBy(FILE_KEY).parquet(target)
     )
-    return {"rows": tables.read_table(spark, target).count(), "rejected": rejected}
+    table = tables.read_table(spark, target)
+    if table is None:
+        return {"rows": 0, "rejected": rejected}
+    # Folders of files that were read now and gave no row; at most one key a file.
+    read_now = history.select(key.alias(FILE_KEY)).distinct()
+    stale = table.where(F.col(LOAD) != load).join(read_now, FILE_KEY, "left_semi").select(FILE_KEY).distinct()
+    for row in stale.collect():
+        tables.drop_partition(spark, f"{target}/{FILE_KEY}={row[0]}")
+    table = tables.read_table(spark, target)
+    return {"rows": 0 if table is None else table.count(), "rejected": rejected}
 
 
 def training_job(
@@ -164,21 +194,22 @@ def prediction_job(
     model_name: str = "eurocontrol_delay_classifier", model_version: str = "v1",
 ) -> int:
     """Score documents and upsert the serving table; returns the rows scored."""
-    documents = tables.read_table(spark, lake.path("flights"))
+    documents = read_documents(spark, lake, "flights")
     coordinates = csv_files.airport_coordinates(csv_files.scan_airports(spark, airports_csv))
     if documents is None or coordinates.isEmpty():
         return 0
     recent = tables.as_documents(tables.scan_recent(documents, limit)).select("doc")
     featured = features.live_features(recent, coordinates)
     scored = model.score(model.load_model(model_path), featured)
-    # One time for the whole batch, and a content tie-breaker: the batch itself has no order.
+    # One time for the whole batch, and tie-breakers by content: the batch itself has no order.
     created = F.lit(datetime.now(timezone.utc))
-    batch = cut_lineage(serving.serving_records(scored, model_name, model_version, created))
+    served = serving.serving_records(scored, model_name, model_version, created)
+    batch = cut_lineage(served.withColumn("_content", F.xxhash64(F.to_json(F.struct("*")))))
     target = lake.path("flight_predictions")
     existing = tables.read_table(spark, target, schemas.PREDICTIONS)
     existing = tables.touched(existing, batch, "flight_date")
     merged = merge.merge_relational(
-        existing, batch, schemas.PREDICTION_KEY, order=("delay_probability", "departure_iata")
+        existing, batch, schemas.PREDICTION_KEY, order=("delay_probability", "departure_iata", "_content")
     )
     tables.replace_partitions(merged, target, ("flight_date",))
     return batch.count()

@@ -64,6 +64,12 @@ def replace_partitions(
     return done
 
 
+def drop_partition(spark: SparkSession, folder: str) -> None:
+    """Delete one partition folder of a table in whatever store it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def touched(table: DataFrame, batch: DataFrame, column: str, max_values: int = 5_000) -> DataFrame:
     """Rows of the table whose partition ``column`` occurs in the batch.
 

@@ -231,3 +231,35 @@ def test_command_line():
     args = parser().parse_args(["--lake", "l", "run-etl", "--raw", "r", "--endpoint", "airlines"])
     assert (args.command, args.source, args.endpoint, args.run_id) == ("run-etl", "aviationstack", "airlines", None)
     assert parser().parse_args(["--lake", "l", "train", "--model", "m"]).preset == "forest_job"
+
+
+def test_documents_keep_their_keys_as_they_came(spark, lake):
+    days = ("", "007", "7", None, "2026-02-27", "2026-02-30")
+    first = files_of(spark, ("a.json", "r1", [flight("AF1", day=d) for d in days]), ("b.json", "r1", []))
+    jobs.load_documents(spark, lake, first, "flights", "aviationstack", "r1")
+    before = {(r.flight_date, r.flight_number) for r in jobs.read_documents(spark, lake, "flights").collect()}
+    assert {d for d, _ in before} >= {"", "007", "7", "2026-02-27", "2026-02-30"}
+    again = files_of(spark, ("c.json", "r2", [flight("AF1", day="007"), flight("AF2", day="")]), ("d.json", "r2", []))
+    counters = jobs.load_documents(spark, lake, again, "flights", "aviationstack", "r2")
+    assert (counters["files"], counters["inserted"], counters["unchanged"]) == (2, 1, 1)
+    after = [(r.flight_date, r.flight_number) for r in jobs.read_documents(spark, lake, "flights").collect()]
+    assert sorted(after, key=str) == sorted(before | {("", "AF2")}, key=str)
+
+
+def test_history_files_of_one_name_and_files_without_rows(spark, lake, tmp_path):
+    header = ("ECTRL ID,ADEP,ADEP Latitude,ADEP Longitude,ADES,ADES Latitude,ADES Longitude,FILED OFF BLOCK TIME,"
+              "ACTUAL OFF BLOCK TIME,AC Type,AC Operator,Requested FL,Actual Distance Flown (nm)")
+
+    def write(year, *origins):
+        folder = tmp_path / "csv" / year
+        folder.mkdir(parents=True, exist_ok=True)
+        lines = [f"{n},{o},49.0,2.5,LFBO,43.6,1.4,01-03-2023 10:00:00,01-03-2023 10:20:00,A320,AFR,350,310"
+                 for n, o in enumerate(origins)]
+        (folder / "Flights_03.csv").write_text("\n".join([header, *lines]) + "\n")
+
+    load = lambda: jobs.history_job(spark, lake, str(tmp_path / "csv"))["rows"]
+    write("y 1", "LFPG", "LFPG")
+    write("y2", "LFPG")
+    assert load() == 3 and load() == 3
+    write("y 1", "EGLL")
+    assert load() == 1

@@ -120,3 +120,12 @@ def test_extractor_keeps_in_air_flights_between_followed_airports(docs):
     kept = in_air_domestic(rows).collect()
     assert [r.ix for r in kept] == [0]
     assert json.loads(kept[0].doc)["departure"] == {"iata": "cdg"}
+
+
+def test_first_text_skips_falsy_values_by_type(spark):
+    cases = {"false": "CDG", "0": "CDG", "-0.0": "CDG", "{}": "CDG", "[]": "CDG", "null": "CDG", '""': "CDG",
+             '"0"': "0", '"false"': "false", '"{}"': "{}", "7": "7", "true": "true", '"ORY"': "ORY"}
+    rows = [(value, f'{{"departure": {{"iata": {value}}}, "dep": "CDG"}}') for value in cases]
+    docs = spark.createDataFrame(rows, "value string, js string").withColumn("doc", F.parse_json("js"))
+    got = docs.select("value", R.first_text_at(F.col("doc"), "departure.iata", "dep").alias("t")).collect()
+    assert {r.value: r.t for r in got} == cases
