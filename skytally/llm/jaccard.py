@@ -16,27 +16,33 @@ exact copies are one set however many rows they are.
 4. The token-group matrix: a group is stored with the union of its sets. A set meets the groups of
    other components with which it shares a prefix shingle; as ``|A ∩ B| <= |A ∩ union|``, a group is
    opened, and its members compared, only if the set has ``ceil(3n/4)`` shingles in the union.
-   A pair within a component needs no comparison: it is linked already. Unions and first
-   comparisons use the shingles' low 16 bits, which can only overstate an overlap; the pairs left
-   are compared by whole shingles.
-5. All links give the components of the result.
+   Unions use the shingles' low 16 bits, which can only overstate an overlap; an opened group and its
+   sets are compared by one product of set-by-shingle matrices. Classes need no more than these links.
+5. For the links themselves the pairs within the components of step 3 are compared too: a component is
+   cut into blocks, each pair of blocks is one such product, and every set gets the rows it links to. The products give sums, so a group of many variants makes no row per pair;
+   ``set_links`` gives the pairs where they are wanted.
+6. All links give the components of the result.
 
 No step holds a bucket or a component in one task, and nothing but the bitmap (fixed size) and counts
 reaches the driver. Intermediate tables go to the shared folder.
 
-Cases: a text with fewer than five words is one shingle of them all; without words or null it has an
+``n_links`` of a row counts the other rows it links to, exact copies included.
+
+Cases: rows may lack a doc_id or share one, as a row is known by doc_id and text; a class without any
+doc_id has no component_id; a text with fewer than five words is one shingle of them all; without words or null it has an
 empty set and is its own component; repeated rows fall in one class; rows with equal doc_id keep their
 own rows; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm.components import connected_components
@@ -51,6 +57,8 @@ HOT_SHINGLES = 1 << 20
 SALTS = 16
 GROUP_SETS = 128
 LONG_BUCKET = 1000
+BLOCK_SETS, BLOCK_SHINGLES = 256, 200_000
+MATRIX_CELLS = 2_000_000
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], "u8")
@@ -107,11 +115,11 @@ def _batch(schema: str, columns: list) -> pa.RecordBatch:
                                       names=[name for name, _ in fields])
 
 
-PROFILE = "doc_id long, digest long, n int, token long, copies int"
+PROFILE = "doc_id long, row long, digest long, n int, token long, copies int"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, digest, n of each document; token, copies of shingles frequent in a chunk."""
+    """doc_id, row, digest, n of each document; token, copies of shingles frequent in a chunk."""
     seen: set[int] = set()
     held: list[np.ndarray] = []
     size = 0
@@ -120,14 +128,14 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, "u8"),) * 2
         pick = counts >= CHUNK_COPIES
         none = pa.nulls(int(pick.sum()), pa.int64())
-        return _batch(PROFILE, [none, none, none.cast(pa.int32()), tokens[pick].view("i8"), counts[pick].astype("i4")])
+        return _batch(PROFILE, [none, none, none, none.cast(pa.int32()), tokens[pick].view("i8"), counts[pick].astype("i4")])
 
     for batch in batches:
         rows = []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))):
             tokens = shingles(text)
             key = digest(tokens) if len(tokens) else None
-            rows.append((doc, key, len(tokens)))
+            rows.append((doc, row, key, len(tokens)))
             if key is not None and key not in seen:
                 seen.add(key)
                 held.append(tokens)
@@ -283,16 +291,18 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _sets(wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sets of the documents whose id is in the bitmap."""
+        """Sets of the rows whose key is in the bitmap, each once a task."""
+        seen: set[int] = set()
         for batch in batches:
-            doc = batch.column("doc_id")
-            picked = np.flatnonzero(in_bitmap(wanted, doc.fill_null(0).to_numpy()))
+            picked = np.flatnonzero(in_bitmap(wanted, batch.column("row").to_numpy()))
             texts = batch.column("text").take(pa.array(picked))
             for at in range(0, len(texts), 500):
-                found = [t for t in map(shingles, texts.slice(at, 500).to_pylist()) if len(t)]
+                found = {digest(t): t for t in map(shingles, texts.slice(at, 500).to_pylist()) if len(t)}
+                found = {k: t for k, t in found.items() if k not in seen}
+                seen.update(found)
                 if found:
-                    yield _batch(SETS, [[digest(t) for t in found], [len(t) for t in found],
-                                        [t.tobytes() for t in found], [brief(t).tobytes() for t in found]])
+                    yield _batch(SETS, [list(found), [len(t) for t in found.values()],
+                                        [t.tobytes() for t in found.values()], [brief(t).tobytes() for t in found.values()]])
     return run
 
 
@@ -362,22 +372,130 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["u", "n", "group"])
 
 
-def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id (least doc_id of the class) of each document."""
+CELL = "root long, low int, high int, part int, digest long, copies long, tokens binary"
+
+
+def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Matrix of which sets of ``left`` link to which of ``right``: overlaps by matrix products over the shingles."""
+    sizes = [np.array([len(t) for t in side]) for side in (left, right)]
+    tokens = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    _, code = np.unique(tokens, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    overlap = np.zeros((len(left), len(right)), "f4")  # exact below 2^24 shingles
+    width = max(1, MATRIX_CELLS // (len(left) + len(right)))
+    for start in range(0, int(code[-1]) + 1, width):
+        a, b = np.searchsorted(code, [start, start + width])
+        held = np.zeros((len(left) + len(right), min(width, int(code[-1]) + 1 - start)), "f4")
+        held[owner[a:b], code[a:b] - start] = 1
+        overlap += held[:len(left)] @ held[len(left):].T
+    both = overlap.astype("i8")
+    return 100 * both >= 75 * (sizes[0][:, None] + sizes[1][None] - both)
+
+
+def _cells(result: str, found: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool], list]):
+    """``found`` of each run of CELL rows: a component's pair of blocks."""
+    def compared(held: dict, low: int, high: int) -> list:
+        sides = [[k for k, (part, _, _) in held.items() if part == p] for p in (low, high)]
+        if not all(sides):
+            return [np.empty(0, "i8") for _ in result.split(", ")]
+        hits = linked(*([held[k][2] for k in side] for side in sides))
+        if low == high:
+            np.fill_diagonal(hits, False)
+        keys, copies = ([np.array([f(k) for k in side], "i8") for side in sides]
+                        for f in (lambda k: k, lambda k: held[k][1]))
+        return found(hits, *keys, *copies, low == high)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, {}
+        for batch in batches:
+            out = []
+            names = ("root", "low", "high", "part", "digest", "copies")
+            for root, low, high, part, key, copies, tokens in zip(
+                    *(batch.column(c).to_pylist() for c in names), batch.column("tokens")):
+                if (root, low, high) != cell:
+                    if held:
+                        out.append(compared(held, *cell[1:]))
+                    cell, held = (root, low, high), {}
+                held[key] = (part, copies, np.frombuffer(tokens.as_buffer(), "u8"))
+            if out:
+                yield _batch(result, [np.concatenate(c) for c in zip(*out)])
+        if held:
+            yield _batch(result, compared(held, *cell[1:]))
+    return run
+
+
+SUMS = "digest long, links long, peer long"
+
+
+def _sums(hits, left, right, left_copies, right_copies, same) -> list:
+    """Rows linked to by each set that has links, and one of the sets it links to."""
+    out = [left, hits @ right_copies, right[hits.argmax(1)]]
+    if not same:
+        out = [np.concatenate(c) for c in zip(out, [right, left_copies @ hits, left[hits.argmax(0)]])]
+    return [c[out[1] > 0] for c in out]
+
+
+def _pairs(hits, left, right, left_copies, right_copies, same) -> list:
+    i, j = np.nonzero(np.triu(hits) if same else hits)
+    return [np.minimum(left[i], right[j]), np.maximum(left[i], right[j])]
+
+
+class Join(NamedTuple):
+    known: DataFrame  # doc_id, row, digest, n of each row
+    links: DataFrame  # u, v: between the first sets of buckets and others
+    inside: DataFrame  # CELL rows: the components of ``links``, by pairs of blocks
+    across: DataFrame  # CELL rows: groups, and the sets of other components they were opened for
+
+
+def _celled(rows: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """CELL rows, sorted by cell, of root, low, high, part, digest rows."""
+    copies = known.groupBy("digest").agg(F.count("*").alias("copies"))
+    return (rows.join(copies, "digest").join(sets.select("digest", "tokens"), "digest")
+            .select("root", "low", "high", "part", "digest", "copies", "tokens")
+            .repartition("root", "low", "high").sortWithinPartitions("root", "low", "high"))
+
+
+def _inside(member: DataFrame) -> DataFrame:
+    inside = member.filter("linked")
+    parts = inside.groupBy("root").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    return (inside.select("digest", "root").join(parts, "root")
+            .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+                    "part", "digest"))
+
+
+def _across(opened: DataFrame, member: DataFrame) -> DataFrame:
+    """A group's sets are part -1 - k, the k-th share of the sets it was opened for part k."""
+    shares = opened.groupBy("group").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("shares"))
+    ends = [F.col("group").alias("root"), (-1 - F.col("k")).alias("low"), F.col("k").alias("high")]
+    met = opened.join(shares, "group").withColumn("k", F.pmod(F.xxhash64("u"), F.col("shares")).cast("int"))
+    own = (member.select("group", "digest").join(shares, "group")
+           .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))))
+    return (met.select(*ends, F.col("k").alias("part"), F.col("u").alias("digest"))
+            .unionByName(own.select(*ends, (-1 - F.col("k")).alias("part"), "digest")))
+
+
+def _join(docs: DataFrame, key: str, text: str) -> Join:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = rows.withColumn("row", row_key(F.col("doc_id"), F.col("text")))
     profile = cut_lineage(rows.mapInArrow(_profile, PROFILE))
-    known = profile.filter("token is null").select("doc_id", "digest", "n")
+    known = profile.filter("token is null").select("doc_id", "row", "digest", "n")
     bitmap = _frequent_bitmap(profile)
 
     prefixes = rows.select("text").mapInArrow(_prefixes(bitmap), PREFIX)
     shared = cut_lineage(
         prefixes.repartition("bucket").sortWithinPartitions("bucket", "digest").mapInArrow(_shared, SHARED))
-    # The sets of all that can link, from one document each; ids the bitmap adds do no harm.
+    # The sets of all that can link, from one row each; rows the bitmap adds do no harm.
     wanted = shared.select("digest").distinct()
-    holders = known.join(wanted, "digest").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    sets = cut_lineage(rows.mapInArrow(_sets(bitmap_of(holders, "doc_id")), SETS))
+    holders = known.join(wanted, "digest").groupBy("digest").agg(F.min("row").alias("row"))
+    sets = cut_lineage(rows.select("row", "text").mapInArrow(_sets(bitmap_of(holders, "row")), SETS))
 
     stars = (shared.filter(F.col("digest") != F.col("first"))
              .filter(_compatible("n", "rank", "first_n", "first_rank"))
@@ -392,14 +510,14 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         .join(sizes, "root", "left")
         .select("digest", "n", F.coalesce("root", "digest").alias("root"), F.when(
             F.col("parts").isNull(), F.col("digest")).otherwise(
-            F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.col("parts")))).alias("group")))
-    held = shared.select("token", "digest", "rank").join(member, "digest")
+            F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.col("parts")))).alias("group"), F.col("parts").isNotNull().alias("linked")))
+    held = shared.select("token", "digest", "rank").join(member.drop("linked"), "digest")
     mixed = held.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     held = cut_lineage(held.join(mixed, "token"))
     groups = held.groupBy("token", "group").agg(
         F.first("root").alias("group_root"), F.min("n").alias("least"), F.max("n").alias("most"),
         F.max(F.col("n") - F.col("rank")).alias("behind"))
-    alone = member.groupBy("group").agg(F.count("*").alias("members"), F.min("digest").alias("only"))
+    alone = member.groupBy("group").agg(F.count("*").alias("members"))
     # As ``compatible``, by what the group's members can have at most.
     smallest = F.greatest(4 * F.col("least"), 3 * F.col("n"))
     meets = (held.withColumnRenamed("group", "own").join(groups, "token")
@@ -407,11 +525,11 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                      & (3 * F.col("n") <= 4 * F.col("most")) & (3 * F.col("least") <= 4 * F.col("n"))
                      & (28 * F.least(F.col("n") - F.col("rank"), F.col("behind")) >= 3 * (4 * F.col("n") + smallest)))
              .select(F.col("digest").alias("u"), "n", "own", "group").distinct())
-    # Two sets alone meet once, not from either side.
-    solo = alone.select(F.col("group").alias("own"), (F.col("members") == 1).alias("u_alone"))
+    # Two groups meet once: the sets of the smaller one are compared with the larger.
+    own = alone.select(F.col("group").alias("own"), F.col("members").alias("own_members"))
     meets = cut_lineage(
-        meets.join(solo, "own").join(alone, "group")
-        .filter(~((F.col("members") == 1) & F.col("u_alone") & (F.col("own") > F.col("group"))))
+        meets.join(own, "own").join(alone, "group")
+        .filter(F.struct("own_members", "own") < F.struct("members", "group"))
         .select("u", "n", "group"))
     needed = meets.select("group").distinct()
     unions = (sets.select("digest", "brief").join(member.join(needed, "group", "left_semi").select("digest", "group"), "digest")
@@ -420,19 +538,67 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     opened = cut_lineage(
         meets.join(sets.select(F.col("digest").alias("u"), "brief"), "u").join(unions, "group")
         .select("u", "n", "group", "brief", "union").mapInArrow(_bounded, BOUNDED))
-    pairs = (opened.join(member.select("group", F.col("digest").alias("v"), F.col("n").alias("v_n")), "group")
-             .filter((3 * F.col("n") <= 4 * F.col("v_n")) & (3 * F.col("v_n") <= 4 * F.col("n")))
-             .select("u", "v").distinct())
-    more = _links(pairs, sets)
+    return Join(known, links, *(_celled(rows, known, sets) for rows in (_inside(member), _across(opened, member))))
+
+
+def row_key(doc: Column, text: Column) -> Column:
+    """A row's key: equal for rows of equal doc_id and text only, up to 64-bit clashes."""
+    return F.xxhash64(doc.isNull(), doc, text.isNull(), text)
+
+
+def _placed(join: Join, across: DataFrame) -> DataFrame:
+    """doc_id, row, digest, n, class (null for empty sets) of each row; ``across`` are SUMS of ``join.across``."""
+    final = connected_components(join.links.unionByName(
+        across.select(F.col("digest").alias("u"), F.col("peer").alias("v")))).withColumnRenamed("node", "digest")
+    return join.known.join(final, "digest", "left").withColumn("class", F.coalesce("root", "digest")).drop("root")
+
+
+def _summed(cells: DataFrame) -> DataFrame:
+    return cells.mapInArrow(_cells(SUMS, _sums), SUMS)
+
 
-    final = connected_components(links.unionByName(more)).withColumnRenamed("node", "digest")
-    placed = known.join(final, "digest", "left").withColumn("class", F.coalesce("root", "digest"))
+def _named(placed: DataFrame) -> DataFrame:
     least = placed.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "class", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+    return placed.join(least, "class", "left").withColumn("component_id", F.when(
+        F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+
+
+def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id (least doc_id of the class) of each document."""
+    join = _join(docs, key, text)
+    return _named(_placed(join, _summed(join.across))).select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def link_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``link_classes`` with n_links: the other rows that each row links to."""
+    join = _join(docs, key, text)
+    across = cut_lineage(_summed(join.across))
+    # A set's own copies link to each other.
+    copies = join.known.filter("digest is not null").groupBy("digest").agg((F.count("*") - 1).alias("links"))
+    sums = (across.unionByName(_summed(join.inside)).select("digest", "links").unionByName(copies)
+            .groupBy("digest").agg(F.sum("links").alias("n_links")))
+    return _named(_placed(join, across)).join(sums, "digest", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id",
+        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def set_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links u < v between digests of different sets, and doc_id and digest of each document."""
+    join = _join(docs, key, text)
+    kind = "u long, v long"
+    found = [cells.mapInArrow(_cells(kind, _pairs), kind) for cells in (join.inside, join.across)]
+    return found[0].unionByName(found[1]), join.known.select("doc_id", "digest")
+
+
+def class_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``row`` keys of one row of each class: the least doc_id, nulls last, then the least key. Empty sets have none."""
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    join = _join(docs, key, text)
+    return (_placed(join, _summed(join.across)).filter("class is not null")
+            .groupBy("class").agg(F.min_by("row", order).alias("row")).select("row"))
 
 
 @register("op2_jaccard_groups")
 def op2_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_classes(read(spark, sf_dir, "documents"))
+    return link_counts(read(spark, sf_dir, "documents"))

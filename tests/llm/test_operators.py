@@ -123,6 +123,32 @@ def test_classes_of_edited_copies(spark, monkeypatch, small):
     assert by_doc(jaccard.link_classes(df)) == plain_classes(rows)
 
 
+def plain_links(rows):
+    """Rows with the number of other rows that link, by comparing all pairs."""
+    sets = [{tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+            for w in (words_of((t or "").lower()) for _, t in rows)]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    return sorted([(doc, sum(link(a, b) for j, b in enumerate(sets) if j != i))
+                   for i, ((doc, _), a) in enumerate(zip(rows, sets))], key=repr), sets, link
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_links_within_groups_are_counted(spark, monkeypatch, small):
+    if small:
+        for name, value in (("LONG_BUCKET", 3), ("GROUP_SETS", 2), ("HOT_COPIES", 2), ("CHUNK_SHINGLES", 500),
+                            ("BLOCK_SETS", 2), ("MATRIX_CELLS", 100)):
+            monkeypatch.setattr(jaccard, name, value)
+    rows = copies() + copies(seed=9, families=2, members=40) + [(5000, None), (5001, ""), (5002, "one two"), (5003, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected, sets, link = plain_links(rows)
+    assert by_doc(jaccard.link_counts(df).select("doc_id", "n_links")) == expected
+    distinct = list({frozenset(s) for s in sets if s})
+    links, members = jaccard.set_links(df)
+    pairs = list(map(tuple, links.collect()))
+    assert len(pairs) == len(set(pairs)) == sum(link(a, b) for i, a in enumerate(distinct) for b in distinct[:i])
+    assert members.select("digest").distinct().filter("digest is not null").count() == len(distinct)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(20)] + [(7, 7)]
