@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet to the shared
 folder and read again as the next stage's docs. All but the last return the columns of documents.
 
-Cases: null and empty texts fail the quality rules; of rows with equal doc_id in one class one stays; an
-empty table passes every stage and gives no rows; other columns are carried up to the last stage.
+Cases: null and empty texts fail the quality rules; of rows with equal doc_id in one class one stays, in
+different classes each; a row without doc_id stays if its class has no other; an empty table passes every
+stage and gives no rows; other columns are carried up to the last stage.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class of near duplicates (operator 2)."""
-    classes = jaccard.link_classes(docs)
-    chosen = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One row of each class of near duplicates (operator 2), that of the least doc_id; all rows without words."""
+    key = jaccard.row_key(F.col("doc_id").cast("long"), F.col("text"))
+    blank = ~F.coalesce("text", F.lit("")).rlike("[^ \\t\\n\\x0b\\f\\r]")
+    chosen = jaccard.class_rows(docs).withColumnRenamed("row", "_row")
+    single = docs.filter(~blank).withColumn("_row", key).join(chosen, "_row", "left_semi").dropDuplicates(["_row"])
+    return single.select(docs.columns).unionByName(docs.filter(blank))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,20 @@ def test_pipeline_stages(spark, odd_docs, no_docs):
     assert corpus_pipeline.drop_near_duplicates(spark, odd_docs, SF_DIR).filter("doc_id = 9").count() == 0
 
 
+def test_near_duplicates_keep_a_row_of_each_class(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    near = words(2) + " more"
+    rows = [(None, words(1)), (None, words(1)), (7, words(2)), (7, words(3)), (3, near), (7, near), (9, words(4)),
+            (None, words(4)), (None, words(5)), (None, words(5) + " more"), (7, None), (7, None), (7, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, SF_DIR)
+    found = sorted(map(tuple, got.collect()), key=repr)
+    fifth = [r for r in found if r[0] is None and r[1].startswith(words(5))]
+    assert len(fifth) == 1
+    assert sorted([*found, (0, "")], key=repr) == sorted(
+        [(None, words(1)), *fifth, (7, words(3)), (3, near), (9, words(4)), (7, None), (7, None), (7, " "), (0, "")], key=repr)
+
+
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.count() > 0 and {"doc_id", "bin_id", "bin_length"} <= set(rows.columns)
