@@ -201,13 +201,13 @@ def confusion_report(spark, sf_dir):
 
 @query("train_score_forest")
 def train_score_forest(spark, sf_dir):
-    dataset = model.prepare_training(training_rows(spark, sf_dir))
+    dataset = model.prepare_training(training_rows(spark, sf_dir), max_rows=0)
     return model.train_and_evaluate(dataset, "forest_job")[1]
 
 
 @query("train_score_boosting")
 def train_score_boosting(spark, sf_dir):
-    dataset = model.prepare_training(training_rows(spark, sf_dir))
+    dataset = model.prepare_training(training_rows(spark, sf_dir), max_rows=0)
     return model.train_and_evaluate(dataset, "boosting_notebook")[1]
 
 

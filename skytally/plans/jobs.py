@@ -183,8 +183,8 @@ def training_job(
     table = tables.scan_training(
         tables.read_table(spark, source), [schemas.TARGET, *schemas.FEATURES]
     )
-    dataset = model.prepare_training(table, max_rows)
-    fitted, report = model.train_and_evaluate(dataset, preset, **overrides)
+    dataset = model.prepare_training(table, max_rows=0)
+    fitted, report = model.train_and_evaluate(dataset, preset, max_rows=max_rows, **overrides)
     model.save_model(fitted, model_path, spark, source, preset)
     return report
 

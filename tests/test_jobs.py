@@ -173,6 +173,14 @@ def test_history_training_and_predictions(spark, lake, history_folder, tmp_path)
         model.load_model(str(tmp_path / "absent"))
 
 
+def test_report_covers_all_held_out_rows(spark):
+    rows = [(i % 2, 1 + i % 12, i % 7, 300 + i, 100.0 + i, "AFR", 1.0, 2.0, float(i)) for i in range(400)]
+    dataset = spark.createDataFrame(rows, [TARGET, *FEATURES]).select(TARGET, *FEATURES)
+    fitted, report = model.train_and_evaluate(dataset, max_rows=50, numTrees=2, maxDepth=2)
+    assert {r.label: r.support for r in report.collect()}["accuracy"] == 80
+    assert fitted.stages[-1].numFeatures > 0
+
+
 def test_training_guards(spark):
     schema = f"{TARGET} string, " + ", ".join(f"`{c}` string" for c in FEATURES)
     row = ["0", "1", "2", "350", "100", "AFR", "1", "2", "3"]
