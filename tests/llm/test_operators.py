@@ -350,6 +350,24 @@ def test_network_on_held_out_findings():
     assert secrets.fit(labelled_windows(1, 1)) is None
 
 
+def test_threshold_keeps_the_recall():
+    rng = random.Random(4)
+    rows = labelled_windows(3, 600)
+    rows = [(w, y if rng.random() < 0.7 else 1 - y) for w, y in rows]  # labels that no score of 0.9 can follow
+    network = secrets.fit(rows)
+    held = rows[2::3]
+    score = network.probability(secrets.encode([w for w, _ in held]))
+    truth = np.array([y for _, y in held], bool)
+    assert (score[truth] >= network.threshold).mean() >= secrets.MIN_RECALL and 0 < network.precision < 1
+
+
+def test_training_draws_from_all_documents(spark):
+    rows = [(i, "see the page abcdefgh" + "".join(random.Random(i).choices("abcdefgh", k=8)) + " and") for i in range(24_000)]
+    rare = [f"the password=k{i}" + "".join(random.Random(-i - 1).choices("0123456789abcdef", k=20)) for i in range(30)]
+    df = spark.createDataFrame(rows + [(10 ** 6 + i, t) for i, t in enumerate(rare)], "doc_id long, text string")
+    assert secrets.train(df) is not None
+
+
 def test_masking(odd_docs):
     masked = secrets.redact_secrets(odd_docs, None)
     assert masked.columns == odd_docs.columns and masked.count() == odd_docs.count()
