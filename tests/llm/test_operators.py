@@ -368,6 +368,22 @@ def test_training_draws_from_all_documents(spark):
     assert secrets.train(df) is not None
 
 
+def test_network_sees_whole_candidates():
+    class Stub:  # sure of windows with a Z
+        threshold = 0.5
+
+        def probability(self, x):
+            return (x == ord("Z") - 31).any(1).astype(float)
+
+    text = "see the page " + "abcdefgh/" * 9 + "keyZkey" + "/rest" * 9 + " and"
+    (span,) = secrets.candidates(text)
+    parts = secrets.pieces(*span)
+    assert {i for a, b in parts for i in range(a, b)} == set(range(*span)) and all(b - a == secrets.INSIDE for a, b in parts)
+    assert secrets.findings([text, text.replace("Z", "z")], Stub()) == [[("cnn", *span)], []]
+    assert secrets.findings(["plainlettersonlyZ"], Stub()) == [[("cnn", 0, 17)]]
+    assert [secrets.label(p, [("hex", 40, 70)]) for p in ((0, 36), (0, 45), (60, 96), (50, 86))] == [0, None, None, 1]
+
+
 def test_masking(odd_docs):
     masked = secrets.redact_secrets(odd_docs, None)
     assert masked.columns == odd_docs.columns and masked.count() == odd_docs.count()
