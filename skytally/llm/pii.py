@@ -1,8 +1,8 @@
 """Personal data: base patterns, and weakly supervised spans beside them.
 
 Four base kinds are found by pattern and check (email, ip, card, phone). Other candidates are long
-digit groups (``id``) and two capitalised words of which the first is a title or given name
-(``name``). Four labelers vote on every span, base spans included: a strict shape, a gazetteer, words
+digit groups (``id``) and every two neighbouring words with a capital, in any script, that have some
+labeler's vote (``name``). Four labelers vote on every span, base spans included: a strict shape, a gazetteer, words
 before it, and what surrounds it. Expectation-maximisation estimates each labeler's reliability
 from the counts of vote patterns; the posteriors then train a logistic classifier over votes, kind,
 length and digit share. Candidates it is sure of are added; base spans always stay.
@@ -39,7 +39,9 @@ IP = "(?<![0-9])[0-9]++[.][0-9]++[.][0-9]++[.][0-9]++"
 CARD = "(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"
 PHONE = "[+][0-9][ ().0-9-]+[0-9]"
 ID = "(?<![A-Za-z0-9+.-])(?:[A-Z]{2})?[0-9](?:[ .-]?[0-9A-Z]){5,33}(?![A-Za-z0-9]|[ .-][0-9])"
-NAME = "(?<![A-Za-z])[A-Z][a-z]{1,15}[.]? [A-Z][a-z]{1,20}(?![a-z])"
+# Runs of capitalised words, of which each two neighbours can be a name.
+NAME = r"(?<!\p{L})\p{Lu}\p{L}*+(?:[.]? \p{Lu}\p{L}*+)++"
+WORD = r"^\p{Lu}\p{L}*"
 
 # Word lists of the labelers.
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Madame", "Monsieur", "Señor", "Señora")
@@ -110,8 +112,24 @@ def _id_valid(match: Column) -> Column:
     return (F.length(_digits(match)) >= 7) & match.rlike("^([0-9]|[A-Z]{2}[0-9])")
 
 
-def _name_valid(match: Column) -> Column:
-    return F.regexp_extract(match, "^[A-Z][a-z]+", 0).isin(*TITLES, *GIVEN_NAMES)
+def _neighbours(found: Column) -> Column:
+    """Each two neighbouring words of the runs in ``found``, in the same form."""
+    kind = "array<struct<start:int,end:int,match:string,before:string>>"
+
+    def pairs(run: Column, words: Column) -> Column:
+        def step(acc: Column, k: Column) -> Column:
+            word = F.get(words, k - 1)
+            match = F.concat(word, F.lit(" "), F.regexp_replace(F.get(words, k), "[.]$", ""))
+            start = run["start"] + acc["at"]
+            before = F.right(F.concat(run["before"], F.left(run["match"], acc["at"])), F.lit(BEFORE))
+            pair = F.struct(start.alias("start"), (start + F.length(match)).alias("end"), match.alias("match"),
+                            before.alias("before"))
+            return F.struct((acc["at"] + F.length(word) + 1).alias("at"), F.concat(acc["out"], F.array(pair)).alias("out"))
+
+        first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(words) - 1), first, step, lambda acc: acc["out"])
+
+    return F.flatten(F.transform(found, lambda run: let(F.split(run["match"], " "), lambda words: pairs(run, words))))
 
 
 FINDERS = {
@@ -120,14 +138,14 @@ FINDERS = {
     "card": (CARD, CARD, _luhn),
     "phone": (PHONE, "[+][0-9]", _phone_valid),
     "id": (ID, ID, _id_valid),
-    "name": (NAME, NAME, _name_valid),
+    "name": (NAME, NAME, None),
 }
 
 
 def _votes(kind: Column, match: Column, before: Column) -> list[Column]:
     """+1 personal, -1 not, 0 no vote, by labeler."""
     yes, no, none = F.lit(1), F.lit(-1), F.lit(0)
-    word = F.regexp_extract(match, "^[A-Z][a-z]+", 0)
+    word = F.regexp_extract(match, WORD, 0)
     shape = F.when(kind.isin(*BASE_KINDS) | match.rlike(STRICT), yes).when(
         match.rlike("^[0-9]+$") | match.rlike("^([0-9]+[ .])+[0-9]+$"), no).otherwise(none)
     gazetteer = F.when(word.isin(*GIVEN_NAMES, *TITLES), yes).when(
@@ -140,11 +158,12 @@ def _votes(kind: Column, match: Column, before: Column) -> list[Column]:
 def _described(kind: str, found: Column, valid) -> Column:
     """The valid matches of a kind with votes and features; length and digit share in thirds."""
     kept = F.filter(found, lambda s: valid(s["match"])) if valid else found
-    return F.transform(kept, lambda s: F.struct(
+    out = F.transform(_neighbours(kept) if kind == "name" else kept, lambda s: F.struct(
         F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
         F.array(*_votes(F.lit(kind), s["match"], s["before"])).alias("votes"),
         F.least(F.length(s["match"]) / 8, F.lit(2)).cast("int").alias("length"),
         (F.length(_digits(s["match"])) * 2 / F.length(s["match"])).cast("int").alias("digits")))
+    return F.filter(out, lambda s: F.exists(s["votes"], lambda v: v > 0)) if kind == "name" else out
 
 
 def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -287,6 +287,16 @@ def test_pii_finds_more_than_the_base(spark):
     assert all("id" in {s["kind"] for s in r["spans"]} for r in found)
 
 
+def test_names_of_any_script_are_candidates(spark):
+    texts = ["name: Olivia Brown", "heute kam Frau Müller an", "name: María López y", "la Señora García", "Peter Weiß.",
+             "The Old Mr. Smith", "Hans Peter Müller", "The Old House", "contact: The Ångström Éa Ω.", "A" * 3000 + " B" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "name"]
+           for r in pii.find_spans(df).collect()}
+    assert got == {0: ["Olivia Brown"], 1: ["Frau Müller"], 2: ["María López"], 3: ["Señora García"], 4: ["Peter Weiß"],
+                   5: ["Mr. Smith"], 6: ["Hans Peter", "Peter Müller"], 7: [], 8: ["The Ångström"], 9: []}
+
+
 # 6 packing
 def test_packing(odd_docs, odd_rows, no_docs):
     lengths = (64, 256, 1024)
