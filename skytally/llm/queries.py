@@ -1,6 +1,8 @@
 """All registered queries of this package."""
 
-from skytally.llm import jaccard, merkle, nbest, packing, pii, quality, secrets, sharding, token_files, urls  # noqa: F401
+from skytally.llm import (  # noqa: F401
+    jaccard, merkle, nbest, packing, pii, quality, secrets, sharding, token_files, urls, windows,
+)
 from skytally.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
