@@ -1,7 +1,8 @@
 """All registered queries of this package."""
 
 from skytally.llm import (  # noqa: F401
-    jaccard, merkle, nbest, packing, periodic, pii, quality, secrets, sharding, token_files, urls, windows,
+    jaccard, merkle, nbest, packing, periodic, pii, quality, secrets, sharding, token_files, urls,
+    whitening, windows,
 )
 from skytally.llm.registry import ORACLES, QUERIES
 
