@@ -26,7 +26,7 @@ def test_native_plans_have_no_python(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, odd_docs, no_docs):
