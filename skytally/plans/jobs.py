@@ -14,6 +14,7 @@ from skytally import schemas
 from skytally.functions import records as R
 from skytally.functions.scalars import new_run_id
 from skytally.operators import merge
+from skytally.operators.trigrams import TrigramIndex
 from skytally.plans import features, insights, model, runlog, serving
 from skytally.session import cut_lineage
 from skytally.sources import csv_files, payloads, tables
@@ -189,6 +190,19 @@ def training_job(
     return report
 
 
+def prediction_index(lake: Lake) -> TrigramIndex:
+    """Trigrams of the identifiers of the serving table."""
+    return TrigramIndex(
+        lake.path("flight_predictions_trigrams"), ("flight_iata", "flight_icao", "flight_number"),
+        tuple(schemas.PREDICTION_KEY), "flight_date")
+
+
+def search_job(spark: SparkSession, lake: Lake, text: str, limit: int = 10) -> DataFrame:
+    """Stored predictions with ``text`` in an identifier, newest first, found by the index."""
+    predictions = tables.read_table(spark, lake.path("flight_predictions"), schemas.PREDICTIONS)
+    return serving.search_flights(predictions, text, limit, index=prediction_index(lake))
+
+
 def prediction_job(
     spark: SparkSession, lake: Lake, model_path: str, airports_csv: str, limit: int | None = None,
     model_name: str = "eurocontrol_delay_classifier", model_version: str = "v1",
@@ -206,8 +220,10 @@ def prediction_job(
     served = serving.serving_records(scored, model_name, model_version, created)
     batch = cut_lineage(served.withColumn("_content", F.xxhash64(F.to_json(F.struct("*")))))
     target = lake.path("flight_predictions")
-    existing = tables.read_table(spark, target, schemas.PREDICTIONS)
-    existing = tables.touched(existing, batch, "flight_date")
+    stored = tables.read_table(spark, target, schemas.PREDICTIONS)
+    # Postings come first: too many of them do no harm, a missing one would hide a row.
+    prediction_index(lake).keep_up(stored.unionByName(batch.drop("_content")), batch)
+    existing = tables.touched(stored, batch, "flight_date")
     merged = merge.merge_relational(
         existing, batch, schemas.PREDICTION_KEY, order=("delay_probability", "departure_iata", "_content")
     )

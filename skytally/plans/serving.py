@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from skytally.functions import records as R
 from skytally.functions import scalars as S
 from skytally.operators.search import check_limit, documents_matching, like_any_id
+from skytally.operators.trigrams import TrigramIndex
 from skytally.schemas import PREDICTIONS
 from skytally.sources.tables import conform
 
+
 def _newest_first(ties: tuple[str, ...]) -> list[Column]:
     return [F.desc_nulls_last(c) for c in ("prediction_created_at", "departure_scheduled")] + [
         F.col(t) for t in ties
@@ -59,9 +61,12 @@ def latest_flights(predictions: DataFrame, limit: int = 20, ties: tuple[str, ...
     return predictions.orderBy(*_newest_first(ties)).limit(limit)
 
 
-def search_flights(predictions: DataFrame, text: str, limit: int = 10, ties: tuple[str, ...] = ()) -> DataFrame:
+def search_flights(
+    predictions: DataFrame, text: str, limit: int = 10, ties: tuple[str, ...] = (), index: TrigramIndex | None = None
+) -> DataFrame:
     check_limit(limit, 1, 50)
-    return like_any_id(predictions, text).orderBy(*_newest_first(ties)).limit(limit)
+    hits = index.like_any_id(predictions, text) if index else like_any_id(predictions, text)
+    return hits.orderBy(*_newest_first(ties)).limit(limit)
 
 
 def search_documents(docs: DataFrame, pattern: str, limit: int = 10, order: tuple[str, ...] = ()) -> DataFrame:
