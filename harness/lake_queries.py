@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from harness import stored
-from harness.flight_queries import NEWEST, PRED_COLUMNS, PRED_SELECT
+from harness.flight_queries import NEWEST, PRED_COLUMNS, PRED_SELECT, REGION
 from harness.registry import query
-from skytally.plans import serving
+from skytally.plans import jobs, serving
 
 # --- substring search by postings ------------------------------------------------------------
 
@@ -26,3 +26,41 @@ def search_trigram_literal(spark, sf_dir):
     index = stored.TrigramIndex(index.path, ("flight.iata", "flight.icao"), index.key, index.part)
     hits = index.contains_text(named, " A12 ").withColumnsRenamed({"flight.iata": "flight_iata", "flight.icao": "flight_icao"})
     return hits.select("event_id", "flight_iata", "flight_icao")
+
+
+# --- latest run by the run index ---------------------------------------------------------------
+# The runs of odd days were loaded last.
+
+LAST_LOADED = "run_id = (SELECT max(run_id) FROM v_obs WHERE CAST(right(run_id, 2) AS INT) % 2 = 1)"
+
+
+@query("run_index", views=("v_obs",), oracle="""
+SELECT run_id, run_id AS run_day, CAST(CAST(right(run_id, 2) AS INT) % 2 AS BIGINT) AS loaded_seq, COUNT(*) AS routes,
+       'flights_' || run_id || '_' || max(strftime(departure_scheduled, '%H')) AS file_name FROM v_obs GROUP BY 1""")
+def run_index(spark, sf_dir):
+    runs = jobs.read_runs(spark, stored.route_lake(spark, sf_dir))
+    return runs.select("run_id", "run_day", "loaded_seq", "routes", "file_name")
+
+
+@query("latest_route_count_indexed", views=("v_obs",), oracle=f"SELECT COUNT(*) AS total_routes FROM v_obs WHERE {LAST_LOADED}")
+def latest_route_count_indexed(spark, sf_dir):
+    return jobs.route_dashboard(spark, stored.route_lake(spark, sf_dir))["total_routes"]
+
+
+@query("region_flows_indexed", views=("v_obs",), oracle=f"""
+SELECT {REGION.format(c='departure_timezone')} || ' → ' || {REGION.format(c='arrival_timezone')} AS route_region,
+       COUNT(*) AS flights
+FROM v_obs WHERE {LAST_LOADED} AND departure_timezone IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
+def region_flows_indexed(spark, sf_dir):
+    return jobs.route_dashboard(spark, stored.route_lake(spark, sf_dir))["region_flows"]
+
+
+@query("latest_routes_indexed", views=("v_obs",), oracle=f"""
+SELECT CAST(CAST(departure_scheduled AS DATE) AS VARCHAR) AS flight_date, run_id,
+       CAST(NULL AS VARCHAR) AS aircraft_icao24, airline_iata, flight_iata, nullif(departure_iata, '') AS departure_iata,
+       {REGION.format(c='departure_timezone')} AS departure_region, arrival_iata,
+       {REGION.format(c='arrival_timezone')} AS arrival_region, flight_status
+FROM v_obs WHERE {LAST_LOADED}
+ORDER BY date_trunc('second', departure_scheduled) NULLS LAST, flight_iata NULLS LAST, event_id LIMIT 100""")
+def latest_routes_indexed(spark, sf_dir):
+    return jobs.route_dashboard(spark, stored.route_lake(spark, sf_dir))["latest_routes"]

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harness import inputs
 from harness.views import table
 from skytally.operators.trigrams import TrigramIndex
+from skytally.plans import jobs
 from skytally.session import scratch_path
 
 _built: dict[tuple[str, str, str], object] = {}
@@ -37,3 +39,21 @@ def searchable_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
     path, schema, index = once("predictions", spark, sf_dir, build)
     return spark.read.schema(schema).parquet(path), index
+
+
+def route_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    """v_obs loaded by the routes job, a file per run and hour: runs of even days first, of odd days later."""
+
+    def build():
+        lake = jobs.Lake(scratch_path(spark, "lake"))
+        rows = inputs.document_text(spark, sf_dir).withColumn("hour", F.date_format("departure_scheduled", "HH"))
+        held = F.array_sort(F.collect_list(F.struct("event_id", "text")))
+        files = rows.groupBy("run_id", "hour").agg(held.alias("held")).select(
+            "run_id", F.concat(F.lit("flights_"), "run_id", F.lit("_"), "hour").alias("file_name"),
+            F.concat(F.lit('{"data":['), F.array_join(F.transform("held", lambda h: h["text"]), ","), F.lit("]}")).alias("payload"))
+        odd = F.substring("run_id", -2, 2).cast("int") % 2 == 1
+        for seq, part in enumerate((files.where(~odd), files.where(odd))):
+            jobs.routes_job(spark, lake, part, "aviationstack", "flights", seq)
+        return lake
+
+    return once("routes", spark, sf_dir, build)

@@ -10,7 +10,7 @@ from skytally.functions.scalars import (
     first_text, parse_day, parse_timestamp, percentage, route_label, timezone_region,
 )
 from skytally.operators.joins import at_latest_run
-from skytally.schemas import ROUTES, SNAPSHOT_INSIGHTS
+from skytally.schemas import ROUTE_RUNS, ROUTES, RUN_DAY, SNAPSHOT_INSIGHTS
 from skytally.sources.tables import conform
 
 STATUSES = ["active", "scheduled", "landed", "cancelled", "diverted", "incident", "unknown"]
@@ -120,16 +120,45 @@ def insertion_order() -> Column:
     return F.struct("created_at", "loaded_seq", "file_name", "row_ix")
 
 
-def latest_route_count(routes: DataFrame, ordinal: Column | str | None = None) -> DataFrame:
-    return at_latest_run(routes, insertion_order() if ordinal is None else ordinal).agg(F.count(F.lit(1)).alias("total_routes"))
+def run_day(run_id: Column) -> Column:
+    """The day a run's name tells, ``other`` where it tells none."""
+    day = F.regexp_extract(F.coalesce(run_id, F.lit("")), r"(\d{4})-?(\d{2})-?(\d{2})", 0)
+    return F.when(day == "", "other").otherwise(F.regexp_replace(day, "-", ""))
 
 
-def region_flows(routes: DataFrame, ordinal: Column | str | None = None, limit: int = 20) -> DataFrame:
+def route_runs(routes: DataFrame) -> DataFrame:
+    """The run index: a row per run with its last row's place in insertion order."""
+    rows = routes.groupBy("run_id").agg(F.max(insertion_order()).alias("last"), F.count(F.lit(1)).alias("routes"))
+    return conform(rows.select("run_id", "last.*", "routes", run_day(F.col("run_id")).alias(RUN_DAY)), ROUTE_RUNS)
+
+
+def of_latest_run(
+    routes: DataFrame, ordinal: Column | str | None = None, runs: DataFrame | None = None
+) -> DataFrame:
+    """Routes of the run that was written to last.
+
+    With the run index only that run's partition is read; without it all routes are, for the highest
+    ``ordinal``.
+    """
+    if runs is None:
+        return at_latest_run(routes, insertion_order() if ordinal is None else ordinal)
+    latest = runs.agg(F.max_by("run_id", insertion_order()).alias("latest"))
+    return routes.where(F.col("run_id") == latest.scalar())
+
+
+def latest_route_count(
+    routes: DataFrame, ordinal: Column | str | None = None, runs: DataFrame | None = None
+) -> DataFrame:
+    return of_latest_run(routes, ordinal, runs).agg(F.count(F.lit(1)).alias("total_routes"))
+
+
+def region_flows(
+    routes: DataFrame, ordinal: Column | str | None = None, limit: int = 20, runs: DataFrame | None = None
+) -> DataFrame:
     """Region pairs of the latest run; ``concat`` is null when a region is."""
-    ordinal = insertion_order() if ordinal is None else ordinal
     flow = route_label(F.col("departure_region"), F.col("arrival_region"))
     return (
-        at_latest_run(routes, ordinal)
+        of_latest_run(routes, ordinal, runs)
         .where(F.col("departure_region").isNotNull() & F.col("arrival_region").isNotNull())
         .groupBy(flow.alias("route_region"))
         .agg(F.count(F.lit(1)).alias("flights"))
@@ -145,12 +174,12 @@ LATEST_ROUTE_COLUMNS = [
 
 
 def latest_routes(
-    routes: DataFrame, ordinal: Column | str | None = None, limit: int = 100, ties: tuple[str, ...] = ()
+    routes: DataFrame, ordinal: Column | str | None = None, limit: int = 100, ties: tuple[str, ...] = (),
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Routes of the latest run by departure; nulls last as the dashboards expect."""
-    ordinal = insertion_order() if ordinal is None else ordinal
     return (
-        at_latest_run(routes, ordinal)
+        of_latest_run(routes, ordinal, runs)
         .orderBy(F.asc_nulls_last("departure_scheduled"), F.asc_nulls_last("flight_iata"), *ties)
         .limit(limit)
         .select(

@@ -112,10 +112,11 @@ def snapshot_job(
     per_file = insights.snapshot_insights(records, ("run_id", "file_name", "source", "endpoint"))
     rows = insights.last_file_per_run(per_file)
     stamped = insights.stamp_insights(rows, F.current_timestamp())
+    by_day = stamped.withColumn(schemas.RUN_DAY, insights.run_day(F.col("run_id")))
     target = lake.path("flight_snapshot_insights")
-    existing = tables.read_table(spark, target, schemas.SNAPSHOT_INSIGHTS)
-    merged = merge.merge_relational(existing, stamped, ["run_id"])
-    return tables.replace_partitions(merged, target)
+    existing = tables.touched(tables.read_table(spark, target, by_day.schema), by_day, schemas.RUN_DAY)
+    merged = merge.merge_relational(existing, by_day, ["run_id"])
+    return tables.replace_partitions(merged, target, (schemas.RUN_DAY,)).drop(schemas.RUN_DAY)
 
 
 def routes_job(
@@ -142,9 +143,38 @@ def routes_job(
     )
     done = tables.replace_partitions(merged, target, ("run_id",))
     batch.unpersist()
+    index_runs(spark, lake, done)
     return done
 
 
+def index_runs(spark: SparkSession, lake: Lake, written: DataFrame) -> None:
+    """Bring the run index up to the runs just written; all runs where there is no index yet."""
+    target = lake.path("route_runs")
+    if read_runs(spark, lake) is None:
+        written = tables.read_table(spark, lake.path("flight_aircraft_routes"), schemas.ROUTES)
+    fresh = cut_lineage(insights.route_runs(written))
+    known = tables.touched(tables.read_table(spark, target, schemas.ROUTE_RUNS), fresh, schemas.RUN_DAY)
+    other = known.join(fresh.select(F.col("run_id").alias("_run")), F.col("run_id").eqNullSafe(F.col("_run")), "left_anti")
+    tables.replace_partitions(other.unionByName(fresh), target, (schemas.RUN_DAY,))
+
+
+def read_runs(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """The run index, None for a table written without one."""
+    target = lake.path("route_runs")
+    return None if tables.read_table(spark, target) is None else tables.read_table(spark, target, schemas.ROUTE_RUNS)
+
+
+def route_dashboard(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The panels over the latest run; each reads the run index and that run's partition."""
+    routes = tables.read_table(spark, lake.path("flight_aircraft_routes"), schemas.ROUTES)
+    runs = read_runs(spark, lake)
+    return {
+        "total_routes": insights.latest_route_count(routes, runs=runs),
+        "region_flows": insights.region_flows(routes, runs=runs),
+        "latest_routes": insights.latest_routes(routes, ties=("file_name", "row_ix"), runs=runs),
+    }
+
+
 def history_job(spark: SparkSession, lake: Lake, folder: str) -> dict[str, object]:
     """Feature-engineered history from every flight CSV; a file loaded again replaces its rows.
 

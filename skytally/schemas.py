@@ -75,6 +75,13 @@ ROUTE_KEY = [
     "run_id", "flight_iata", "departure_iata", "arrival_iata", "aircraft_icao24", "flight_date",
 ]
 
+# One row per run of the routes table; the run's last row in insertion order.
+ROUTE_RUNS = _struct(
+    run_id=STRING, created_at=TS, loaded_seq=LONG, file_name=STRING, row_ix=LONG, routes=LONG,
+    run_day=STRING,
+)
+RUN_DAY = "run_day"  # partition of the tables with a row per run, derived from the run's name
+
 PREDICTIONS = _struct(
     flight_iata=STRING, flight_icao=STRING, flight_number=STRING, flight_date=T.DateType(),
     flight_status=STRING, airline_name=STRING, airline_iata=STRING, departure_iata=STRING,

@@ -14,8 +14,9 @@ from skytally.session import cut_lineage
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The table, or an empty one of ``schema`` (None without a schema) when nothing is there."""
     try:
-        reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-        return reader.parquet(path)
+        if schema:  # partition columns outside the contract are left out
+            return spark.read.schema(schema).parquet(path).select(schema.names)
+        return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as missing:
         if not any(code in str(missing) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
             raise

@@ -1,5 +1,6 @@
 """Postings, run index, quarantine and stored schemas of the lake."""
 
+import json
 import re
 
 import pytest
@@ -7,7 +8,10 @@ from pyspark.sql import functions as F
 
 from skytally.operators import search
 from skytally.operators.trigrams import TrigramIndex, literal_parts
+from skytally.plans import insights, jobs
+from skytally.schemas import ROUTES, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
+from skytally.sources import tables
 
 IDS = ["flight_iata", "flight_icao", "flight_number"]
 
@@ -75,3 +79,60 @@ def test_columns_that_are_not_indexed_are_scanned(spark, flights):
     index = index_of(spark, ["flight_iata"])
     index.add(flights)
     same(index.like_any_id(flights, "AFR8"), search.like_any_id(flights, "AFR8"))
+
+
+# --- run index ---------------------------------------------------------------------------------
+
+
+def payload_files(spark, *entries):
+    return spark.createDataFrame(
+        [(f, r, json.dumps(p)) for f, r, p in entries], "file_name string, run_id string, payload string")
+
+
+def flight(number, zone="Europe/Paris"):
+    return {"flight_date": "2026-02-27", "flight": {"iata": number}, "departure": {"iata": "CDG", "timezone": zone},
+            "arrival": {"iata": "NCE", "timezone": "Asia/Tokyo"}}
+
+
+def test_run_index_follows_the_routes(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    assert jobs.read_runs(spark, lake) is None
+    load = lambda seq, *entries: jobs.routes_job(
+        spark, lake, payload_files(spark, *entries), "aviationstack", "flights", seq)
+    load(1, ("b", "manual__2026-03-01T10", [flight("A1"), flight("A2")]), ("a", "r1", [flight("A3")]))
+    load(2, ("c", "20260228_101500", [flight("A4", "Africa/Cairo")]))
+    load(1, ("a", "r1", [flight("A3"), flight("A5")]))  # a replay that found more
+
+    def check():
+        runs = jobs.read_runs(spark, lake)
+        routes = tables.read_table(spark, lake.path("flight_aircraft_routes"), ROUTES)
+        whole = insights.route_runs(routes)
+        assert sorted(map(tuple, runs.collect())) == sorted(map(tuple, whole.collect()))
+        wanted = insights.of_latest_run(routes).count()
+        assert jobs.route_dashboard(spark, lake)["total_routes"].first()[0] == wanted
+        return {r.run_id: r.run_day for r in runs.collect()}, routes, runs
+
+    days, routes, runs = check()
+    assert days == {"manual__2026-03-01T10": "20260301", "r1": "other", "20260228_101500": "20260228"}
+    latest = insights.of_latest_run(routes, runs=runs)
+    assert {r.run_id for r in latest.collect()} == {"r1"}
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*run_id#\d+ = Subquery", plan)
+    assert "ReadSchema: struct<run_id:string,created_at:timestamp,loaded_seq" in plan.split("Subquery", 1)[1]
+    tables.drop_partition(spark, lake.path("route_runs"))  # a table from before the index
+    assert jobs.route_dashboard(spark, lake)["total_routes"].first()[0] == 2
+    load(3, ("d", "20260302", [flight("A6")]))
+    assert len(check()[0]) == 4
+
+
+def test_snapshots_rewrite_only_the_days_they_touch(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    run = lambda *entries: jobs.snapshot_job(spark, lake, payload_files(spark, *entries), "aviationstack", "flights")
+    run(("a", "20260301_00", [flight("A1")]), ("b", "20260302_00", [flight("A2"), flight("A3")]))
+    kept = [p for p in (tmp_path / "lake" / "flight_snapshot_insights").rglob("*.parquet") if "20260301" in str(p)]
+    written = run(("c", "20260302_00", [flight("A4")]), ("d", "20260302_01", []))
+    assert written.columns == SNAPSHOT_INSIGHTS.names
+    stored = tables.read_table(spark, lake.path("flight_snapshot_insights"), SNAPSHOT_INSIGHTS)
+    assert {r.run_id: r.observed_flights_total for r in stored.collect()} == {
+        "20260301_00": 1, "20260302_00": 1, "20260302_01": 0}
+    assert stored.columns == SNAPSHOT_INSIGHTS.names and all(p.exists() for p in kept)
