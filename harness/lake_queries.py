@@ -5,7 +5,8 @@ from __future__ import annotations
 from harness import stored
 from harness.flight_queries import NEWEST, PRED_COLUMNS, PRED_SELECT, REGION
 from harness.registry import query
-from skytally.plans import jobs, serving
+from skytally.operators.search import quoted
+from skytally.plans import explorer, jobs, serving
 
 # --- substring search by postings ------------------------------------------------------------
 
@@ -64,3 +65,30 @@ FROM v_obs WHERE {LAST_LOADED}
 ORDER BY date_trunc('second', departure_scheduled) NULLS LAST, flight_iata NULLS LAST, event_id LIMIT 100""")
 def latest_routes_indexed(spark, sf_dir):
     return jobs.route_dashboard(spark, stored.route_lake(spark, sf_dir))["latest_routes"]
+
+
+# --- flat view of stored documents -------------------------------------------------------------
+# Key and day of a document agree, so each is loaded in one of the two loads; within it the last file counts.
+
+PLACE = "(run_id, strftime(departure_scheduled, '%H'), event_id)"
+FLAT_FIELDS = {
+    "flight_date": "any_value(CAST(CAST(departure_scheduled AS DATE) AS VARCHAR))",
+    "flight_status": f"arg_max(flight_status, {PLACE}) FILTER (WHERE flight_status IS NOT NULL)",
+    "flight.iata": "any_value(flight_iata)", "flight.number": "any_value(substr(flight_iata, 2))",
+    "airline.iata": "any_value(airline_iata)",
+    "departure.iata": "any_value(departure_iata)", "departure.icao": f"arg_max(departure_icao, {PLACE})",
+    "departure.delay": f"arg_max(struct_pack(d := CAST(departure_delay AS VARCHAR)), {PLACE}).d",
+    "arrival.iata": "any_value(arrival_iata)",
+    "arrival.delay": f"arg_max(struct_pack(d := arrival_delay), {PLACE}).d",
+    "arrival.timezone": f"arg_max(arrival_timezone, {PLACE})",
+    "live.is_ground": f"arg_max(live_is_ground, {PLACE}) FILTER (WHERE live_is_ground IS NOT NULL)",
+    "_meta.run_id": "any_value(CASE WHEN CAST(right(run_id, 2) AS INT) % 2 = 1 THEN 'odd' ELSE 'even' END)",
+}
+
+
+@query("flat_view_documents", views=("v_obs",), oracle="SELECT " + ", ".join(
+    f'{sql} AS "{name}"' for name, sql in FLAT_FIELDS.items()) + """
+FROM v_obs GROUP BY CAST(departure_scheduled AS DATE), flight_iata, departure_iata, arrival_iata, airline_iata""")
+def flat_view_documents(spark, sf_dir):
+    documents = jobs.read_documents(spark, stored.document_lake(spark, sf_dir), "flights")
+    return explorer.stored_documents(documents).select([quoted(n) for n in FLAT_FIELDS])

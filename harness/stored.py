@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import inputs
@@ -41,19 +41,38 @@ def searchable_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     return spark.read.schema(schema).parquet(path), index
 
 
+def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_obs as payload files: one per run and hour, records in order of event_id."""
+    rows = inputs.document_text(spark, sf_dir).withColumn("hour", F.date_format("departure_scheduled", "HH"))
+    held = F.array_sort(F.collect_list(F.struct("event_id", "text")))
+    return rows.groupBy("run_id", "hour").agg(held.alias("held")).select(
+        "run_id", F.concat(F.lit("flights_"), "run_id", F.lit("_"), "hour").alias("file_name"),
+        F.concat(F.lit('{"data":['), F.array_join(F.transform("held", lambda h: h["text"]), ","), F.lit("]}")).alias("payload"))
+
+
+def odd_day(run_id: str = "run_id") -> Column:
+    return F.substring(run_id, -2, 2).cast("int") % 2 == 1
+
+
 def route_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
-    """v_obs loaded by the routes job, a file per run and hour: runs of even days first, of odd days later."""
+    """v_obs loaded by the routes job: runs of even days first, of odd days later."""
 
     def build():
-        lake = jobs.Lake(scratch_path(spark, "lake"))
-        rows = inputs.document_text(spark, sf_dir).withColumn("hour", F.date_format("departure_scheduled", "HH"))
-        held = F.array_sort(F.collect_list(F.struct("event_id", "text")))
-        files = rows.groupBy("run_id", "hour").agg(held.alias("held")).select(
-            "run_id", F.concat(F.lit("flights_"), "run_id", F.lit("_"), "hour").alias("file_name"),
-            F.concat(F.lit('{"data":['), F.array_join(F.transform("held", lambda h: h["text"]), ","), F.lit("]}")).alias("payload"))
-        odd = F.substring("run_id", -2, 2).cast("int") % 2 == 1
-        for seq, part in enumerate((files.where(~odd), files.where(odd))):
+        lake, files = jobs.Lake(scratch_path(spark, "lake")), run_files(spark, sf_dir)
+        for seq, part in enumerate((files.where(~odd_day()), files.where(odd_day()))):
             jobs.routes_job(spark, lake, part, "aviationstack", "flights", seq)
         return lake
 
     return once("routes", spark, sf_dir, build)
+
+
+def document_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    """v_obs loaded as documents, runs of even days first."""
+
+    def build():
+        lake, files = jobs.Lake(scratch_path(spark, "lake")), run_files(spark, sf_dir)
+        for name, part in (("even", files.where(~odd_day())), ("odd", files.where(odd_day()))):
+            jobs.load_documents(spark, lake, part, "flights", "aviationstack", name)
+        return lake
+
+    return once("documents", spark, sf_dir, build)

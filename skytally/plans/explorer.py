@@ -8,26 +8,28 @@ from pyspark.sql import types as T
 
 from skytally.functions import scalars as S
 from skytally.functions.scalars import DELAYED_STATUS_PATTERN, display_value, match_label
+from skytally.functions.variants import leaf_columns
 from skytally.operators.search import first_existing_column, quoted
-
-_STOP_FIELDS = [
-    "airport", "timezone", "iata", "icao", "terminal", "gate", "delay", "scheduled", "estimated",
-    "actual", "estimated_runway", "actual_runway", "baggage",
-]
-_LIVE_FIELDS = ["latitude", "longitude", "altitude", "direction", "speed_horizontal", "speed_vertical"]
+from skytally.sources.tables import as_documents
 
 # Column order of the flat view; other columns follow.
 PREFERRED_COLUMNS = [
     "flight_date", "flight_status", "flight.iata", "flight.icao", "flight.number",
     "airline.airline_name", "airline.name", "airline.iata_code", "airline.icao_code",
-    "airline.country_name", "airline.status", "airline.type",
-    *[f"{stop}.{field}" for stop in ("departure", "arrival") for field in _STOP_FIELDS],
-    "aircraft.registration", "aircraft.iata", "aircraft.icao", "aircraft.icao24",
-    "live.updated", *[f"live.{field}" for field in _LIVE_FIELDS], "live.is_ground",
-    "predicted_is_delayed", "delay_probability", "prediction_label", "model_name", "model_version",
-    "prediction_created_at", "departure_iata", "arrival_iata", "airline_name", "airline_iata",
-    "departure_scheduled", "arrival_scheduled",
-    *[f"live_{field}" for field in _LIVE_FIELDS], "live_is_ground", "live_updated",
+    "airline.country_name", "airline.status", "airline.type", "departure.airport",
+    "departure.timezone", "departure.iata", "departure.icao", "departure.terminal",
+    "departure.gate", "departure.delay", "departure.scheduled", "departure.estimated",
+    "departure.actual", "departure.estimated_runway", "departure.actual_runway",
+    "departure.baggage", "arrival.airport", "arrival.timezone", "arrival.iata", "arrival.icao",
+    "arrival.terminal", "arrival.gate", "arrival.delay", "arrival.scheduled", "arrival.estimated",
+    "arrival.actual", "arrival.estimated_runway", "arrival.actual_runway", "arrival.baggage",
+    "aircraft.registration", "aircraft.iata", "aircraft.icao", "aircraft.icao24", "live.updated",
+    "live.latitude", "live.longitude", "live.altitude", "live.direction", "live.speed_horizontal",
+    "live.speed_vertical", "live.is_ground", "predicted_is_delayed", "delay_probability",
+    "prediction_label", "model_name", "model_version", "prediction_created_at", "departure_iata",
+    "arrival_iata", "airline_name", "airline_iata", "departure_scheduled", "arrival_scheduled",
+    "live_latitude", "live_longitude", "live_altitude", "live_direction", "live_speed_horizontal",
+    "live_speed_vertical", "live_is_ground", "live_updated",
 ]
 
 # Columns tried in turn for each displayed field.
@@ -51,11 +53,30 @@ def flat_columns(schema: T.StructType, prefix: str = "", source: str = "") -> di
     return leaves
 
 
-def flat_view(flights: DataFrame) -> DataFrame:
-    leaves = flat_columns(flights.schema)
+def _ordered(rows: DataFrame, leaves: dict[str, Column]) -> DataFrame:
     order = [c for c in PREFERRED_COLUMNS if c in leaves]
     order += [c for c in leaves if c not in order]
-    return flights.select([leaves[c].alias(c) for c in order])
+    return rows.select([leaves[c].alias(c) for c in order])
+
+
+def flat_view(flights: DataFrame) -> DataFrame:
+    return _ordered(flights, flat_columns(flights.schema))
+
+
+def flat_documents(docs: DataFrame, column: str = "doc") -> DataFrame:
+    """The flat view of free JSON documents: a column per leaf that any document has.
+
+    Other columns of ``docs`` are left out. Documents that are no objects give a row of nulls, and so
+    does a path for documents without it. Lists are JSON text; where a path holds different types, its
+    column is text, and the fields of its objects have columns of their own.
+    """
+    leaves = leaf_columns(docs, column)
+    return _ordered(docs, leaves) if leaves else docs.select()
+
+
+def stored_documents(table: DataFrame) -> DataFrame:
+    """The flat view of a document table: key columns and one VARIANT per top-level field."""
+    return flat_documents(as_documents(table).select("doc"))
 
 
 def status_kpis(flat: DataFrame) -> DataFrame:

@@ -1,17 +1,19 @@
 """Postings, run index, quarantine and stored schemas of the lake."""
 
 import json
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from skytally.functions import variants
 from skytally.operators import search
 from skytally.operators.trigrams import TrigramIndex, literal_parts
-from skytally.plans import insights, jobs
+from skytally.plans import explorer, insights, jobs
 from skytally.schemas import ROUTES, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
-from skytally.sources import tables
+from skytally.sources import payloads, tables
 
 IDS = ["flight_iata", "flight_icao", "flight_number"]
 
@@ -136,3 +138,85 @@ def test_snapshots_rewrite_only_the_days_they_touch(spark, tmp_path):
     assert {r.run_id: r.observed_flights_total for r in stored.collect()} == {
         "20260301_00": 1, "20260302_00": 1, "20260302_01": 0}
     assert stored.columns == SNAPSHOT_INSIGHTS.names and all(p.exists() for p in kept)
+
+
+# --- flat view of documents --------------------------------------------------------------------
+
+
+def plain_flat(document, prefix=""):
+    """Dotted leaves of a JSON object, as a data frame library normalises them."""
+    out = {}
+    for name, value in document.items():
+        if isinstance(value, dict) and value:
+            out.update(plain_flat(value, f"{prefix}{name}."))
+        else:
+            out[prefix + name] = value
+    return out
+
+
+def random_document(rng, depth=0):
+    names = ["a", "b", "x y", "g.h", "q's", 'd"q', "Ünï", ""]
+    out = {}
+    for name in rng.sample(names, rng.randint(0, 4)):
+        kind = rng.randrange(8)
+        if kind < 3 and depth < 3:
+            out[name] = random_document(rng, depth + 1)
+        else:
+            out[name] = [1, -2.5, "text", True, None, [1, {"k": 2}], "7", 10 ** 12][kind]
+    return out
+
+
+def test_flat_documents_have_every_leaf(spark):
+    rng = random.Random(3)
+    documents = [random_document(rng) for _ in range(80)]
+    texts = [json.dumps(d) for d in documents] + ["[1,2]", '"x"', "null"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "ix int, text string").repartition(5)
+    docs = rows.select("ix", F.parse_json("text").alias("doc"))
+    flat = explorer.flat_documents(docs.select("doc"))
+    wanted = [plain_flat(d) for d in documents]
+    named = {k for w in wanted for k, v in w.items()}
+    hidden = {k for k in named if all(w.get(k) is None or w.get(k) == {} for w in wanted)}
+    assert named - hidden <= set(flat.columns) <= named
+    # Values by document: one column each for name and value, as text.
+    pairs = docs.select("ix", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("n"), c.cast("string").alias("v")) for n, c in variants.leaf_columns(docs).items()])).alias("p"))
+    got = {(r.ix, r.p.n): r.p.v for r in pairs.where("p.v is not null").collect()}
+    for ix, w in enumerate(wanted):
+        for name, value in w.items():
+            if value is None or value == {}:
+                assert got.pop((ix, name), "{}") == "{}"
+                continue
+            text = got.pop((ix, name))
+            if isinstance(value, str):
+                assert text == value
+            elif isinstance(value, list):
+                assert json.loads(text) == value
+            else:
+                assert json.loads(text) == pytest.approx(value)
+    assert not got
+
+
+def test_flat_documents_order_and_empty(spark):
+    docs = spark.createDataFrame([('{"zz":1,"live":{"is_ground":true},"flight":{"iata":"A1"},"flight_date":"d"}',)], "t string")
+    docs = docs.select(F.parse_json("t").alias("doc"))
+    assert explorer.flat_documents(docs).columns == ["flight_date", "flight.iata", "live.is_ground", "zz"]
+    assert explorer.flat_documents(docs.where("false")).columns == []
+    wide = spark.range(3).select(F.parse_json(F.format_string('{"k%d":{"a":1}}', "id")).alias("doc"))
+    assert len(explorer.flat_documents(wide).columns) == 3
+
+
+def test_snapshot_files_by_rank(spark, tmp_path):
+    incoming, processed = tmp_path / "in", tmp_path / "done"
+    find = lambda: sorted(r.file_name for r in payloads.find_snapshot_files(
+        spark, str(incoming), str(processed), "S", "flights", "r1").collect())
+    with pytest.raises(FileNotFoundError):
+        find()
+    for folder, name in [
+        (processed / "x", "note_r1.txt"), (processed, "a_r1_b.json"), (incoming, "c_r1_.json"), (incoming, "r1.txt"),
+        (processed / "y", "q__s_flights_incoming_r1.json"), (processed / "z", "s_flights_incoming_r1.json"),
+        (incoming, "s_flights_incoming_r1.json"),
+    ]:
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text("{}")
+        if name != "r1.txt":
+            assert find() == [name]
