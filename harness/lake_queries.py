@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from harness import stored
 from harness.flight_queries import NEWEST, PRED_COLUMNS, PRED_SELECT, REGION
 from harness.registry import query
 from skytally.operators.search import quoted
-from skytally.plans import explorer, jobs, serving
+from skytally.plans import explorer, jobs, quarantine, serving
 
 # --- substring search by postings ------------------------------------------------------------
 
@@ -92,3 +94,42 @@ FROM v_obs GROUP BY CAST(departure_scheduled AS DATE), flight_iata, departure_ia
 def flat_view_documents(spark, sf_dir):
     documents = jobs.read_documents(spark, stored.document_lake(spark, sf_dir), "flights")
     return explorer.stored_documents(documents).select([quoted(n) for n in FLAT_FIELDS])
+
+
+# --- quarantine ----------------------------------------------------------------------------------
+# What the seven payload shapes hold beside valid records; every thirteenth file is cut short.
+
+SET_ASIDE_SQL = """
+WITH kinds AS (SELECT * FROM (VALUES
+  (1, 1, 'not_an_object', '"junk"'), (2, 2, 'not_an_object', '5'), (4, NULL, 'no_record_list', '"invalid"'),
+  (5, 0, 'invalid_key', '{}'), (6, 0, 'invalid_key', NULL), (6, 1, 'invalid_key', NULL), (6, 3, 'not_an_object', '7')
+  ) AS k (shape, record_ix, reason, content)),
+aside AS (
+  SELECT 'f' || event_id AS file_name, CAST(record_ix AS BIGINT) AS record_ix, reason, content
+  FROM v_obs JOIN kinds ON shape = event_id % 7 WHERE event_id % 13 <> 0
+  UNION ALL SELECT 'f' || event_id, NULL, 'bad_json', NULL FROM v_obs WHERE event_id % 13 = 0)
+"""
+
+
+def set_aside(spark, sf_dir):
+    return quarantine.quarantined(spark, stored.poisoned_lake(spark, sf_dir).path("quarantine"))
+
+
+@query("quarantine_rows", views=("v_obs",), oracle=SET_ASIDE_SQL + "SELECT * FROM aside")
+def quarantine_rows(spark, sf_dir):
+    short = F.when(~F.col("content").startswith("[") & (F.length("content") < 12) & (F.col("reason") != "bad_json"), F.col("content"))
+    return set_aside(spark, sf_dir).select("file_name", "record_ix", "reason", short.alias("content"))
+
+
+@query("quarantine_reasons", views=("v_obs",), oracle=SET_ASIDE_SQL + """
+SELECT 'flights' AS endpoint, reason, COUNT(*) AS rows, COUNT(DISTINCT file_name) AS files FROM aside GROUP BY reason""")
+def quarantine_reasons(spark, sf_dir):
+    return quarantine.reasons(set_aside(spark, sf_dir))
+
+
+@query("poisoned_documents", views=("v_obs",), oracle="""
+SELECT COUNT(DISTINCT (CAST(departure_scheduled AS DATE), flight_iata, departure_iata, arrival_iata, airline_iata)) AS documents
+FROM v_obs WHERE event_id % 13 <> 0 AND event_id % 7 NOT IN (4, 5)""")
+def poisoned_documents(spark, sf_dir):
+    documents = jobs.read_documents(spark, stored.poisoned_lake(spark, sf_dir), "flights")
+    return documents.agg(F.count(F.lit(1)).alias("documents"))

@@ -76,3 +76,18 @@ def document_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
         return lake
 
     return once("documents", spark, sf_dir, build)
+
+
+def poisoned_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    """v_obs as payload files of seven shapes, every thirteenth cut short, loaded twice as documents."""
+
+    def build():
+        lake = jobs.Lake(scratch_path(spark, "lake"))
+        files = inputs.payloads(spark, sf_dir).select("event_id", "file_name", F.to_json("payload").alias("payload"))
+        broken = F.expr("substr(payload, 1, length(payload) - 1)")
+        files = files.withColumn("payload", F.when(F.col("event_id") % 13 == 0, broken).otherwise(F.col("payload")))
+        for _ in range(2):
+            jobs.load_documents(spark, lake, files, "flights", "aviationstack", "r1")
+        return lake
+
+    return once("poisoned", spark, sf_dir, build)

@@ -41,9 +41,13 @@ def route_distance() -> Column:
     ])
 
 
-def french_domestic_history(history: DataFrame) -> DataFrame:
+def is_french_domestic() -> Column:
     ends = [F.upper(F.trim(c)).startswith(R.FRENCH_ICAO_PREFIX) for c in ("ADEP", "ADES")]
-    return history.where(ends[0] & ends[1])
+    return ends[0] & ends[1]
+
+
+def french_domestic_history(history: DataFrame) -> DataFrame:
+    return history.where(is_french_domestic())
 
 
 def history_features(

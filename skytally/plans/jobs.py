@@ -15,7 +15,7 @@ from skytally.functions import records as R
 from skytally.functions.scalars import new_run_id
 from skytally.operators import merge
 from skytally.operators.trigrams import TrigramIndex
-from skytally.plans import features, insights, model, runlog, serving
+from skytally.plans import features, insights, model, quarantine, runlog, serving
 from skytally.session import cut_lineage
 from skytally.sources import csv_files, payloads, tables
 
@@ -53,16 +53,21 @@ def load_documents(
 ) -> dict[str, int]:
     """Upsert the records of payload files into the document table; returns the counters.
 
-    Keys are stored as they came; flight documents lie in folders by :func:`day_folder`.
+    Keys are stored as they came; flight documents lie in folders by :func:`day_folder`. Files that are
+    no JSON and records without a key are set aside with their content, under the load's ``run_id``.
     """
-    keyed = R.with_keys(
-        R.unwrap(payloads.parse_payloads(files.select("file_name", "payload")), UNWRAP_MODE[endpoint]),
-        endpoint,
-    )
-    keyed = keyed.persist()  # read by the counters, discovery, partition choice and the merge
+    wanted = ["file_name", "payload", *[c for c in files.columns if c == "bad_text"]]
+    rows = quarantine.classified(files.select(wanted), endpoint, UNWRAP_MODE[endpoint])
+    rows = rows.persist()  # read by the counters, quarantine, discovery, partition choice and the merge
+    keyed = rows.where("doc IS NOT NULL")
     counted = merge.record_counters(keyed).agg(
         *[F.sum(c) for c in ("records", "valid", "invalid")]
     ).first()
+    unread = rows.where(F.col("reason").isin(quarantine.BAD_JSON, quarantine.NO_RECORDS)).count()
+    held, load_id = lake.path("quarantine"), f"{source}/{endpoint}/{run_id}"
+    quarantine.forget(spark, held, spark.createDataFrame([(load_id,)], "load_id string"))
+    if counted[2] or unread:
+        quarantine.set_aside(quarantine.rejected_records(rows), held, source, endpoint, F.lit(load_id))
     keys = R.KEY_RULES[endpoint][1]
     valid = keyed.where("is_valid")
     loaded_at = datetime.now(timezone.utc).isoformat()
@@ -92,9 +97,9 @@ def load_documents(
     tables.replace_partitions(
         merged.drop("change_type", "batch_rows"), target, partitions, checkpointed=True
     )
-    keyed.unpersist()
+    rows.unpersist()
     return {
-        "files": files.select("file_name").distinct().count(),
+        "files": files.select("file_name").distinct().count(), "unread_files": unread,
         "records": counted[0] or 0, "invalid": counted[2] or 0, **changes,
     }
 
@@ -181,12 +186,16 @@ def history_job(spark: SparkSession, lake: Lake, folder: str) -> dict[str, objec
     Files are told apart by their whole path. Those without the required columns are reported and
     left out; one without French domestic flights adds nothing, and its earlier rows go.
     """
-    history, rejected = csv_files.scan_history(spark, folder, features.HISTORY_REQUIRED)
+    history, rejected = csv_files.scan_history(spark, folder, features.HISTORY_REQUIRED, mark_extra=True)
     if history is None:
-        return {"rows": 0, "rejected": rejected}
+        set_history_aside(spark, lake, None, rejected)
+        return {"rows": 0, "set_aside": 0, "rejected": rejected}
     # A path can be longer than a folder name may be, so the folder is named by its digest.
     load, key = new_run_id(), F.concat(F.lit("f"), F.md5("source_file"))
-    rows = features.history_features(history).withColumns(
+    extra = F.col(csv_files.EXTRA)
+    # One pass over the CSVs: what is needed and what is set aside, written once for both outputs.
+    staged = cut_lineage(history.where(extra.isNotNull() | features.is_french_domestic()))
+    rows = features.history_features(staged.where(extra.isNull()).drop(csv_files.EXTRA)).withColumns(
         {FILE_KEY: key, LOAD: F.lit(load)})
     target = lake.path("eurocontrol_historical_data")
     (
@@ -194,16 +203,44 @@ def history_job(spark: SparkSession, lake: Lake, folder: str) -> dict[str, objec
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(FILE_KEY).parquet(target)
     )
+    corrupt = staged.where(extra.isNotNull())
+    set_aside = corrupt.count()
+    set_history_aside(spark, lake, corrupt if set_aside else None, rejected, history)
     table = tables.read_table(spark, target)
     if table is None:
-        return {"rows": 0, "rejected": rejected}
+        return {"rows": 0, "set_aside": set_aside, "rejected": rejected}
     # Folders of files that were read now and gave no row; at most one key a file.
     read_now = history.select(key.alias(FILE_KEY)).distinct()
     stale = table.where(F.col(LOAD) != load).join(read_now, FILE_KEY, "left_semi").select(FILE_KEY).distinct()
     for row in stale.collect():
         tables.drop_partition(spark, f"{target}/{FILE_KEY}={row[0]}")
     table = tables.read_table(spark, target)
-    return {"rows": 0 if table is None else table.count(), "rejected": rejected}
+    return {"rows": 0 if table is None else table.count(), "set_aside": set_aside, "rejected": rejected}
+
+
+def set_history_aside(
+    spark: SparkSession, lake: Lake, extra: DataFrame | None, rejected: dict[str, list[str]],
+    read_now: DataFrame | None = None,
+) -> None:
+    """Keep corrupt records and the names of unusable files, each file under its own load id.
+
+    What a file had in quarantine before goes when the file is read again.
+    """
+    held = lake.path("quarantine")
+    load = lambda path: F.concat(F.lit("history "), path)
+    paths = spark.createDataFrame([(p,) for p in rejected], "file string")
+    if read_now is not None:
+        paths = paths.unionByName(read_now.select(F.col("source_file").alias("file")))
+    quarantine.forget(spark, held, paths.select(load(F.col("file"))))
+    bad = spark.createDataFrame(
+        [(path, quarantine.MISSING_COLUMNS, ", ".join(names)) for path, names in rejected.items()],
+        "file_name string, reason string, content string")
+    if extra is not None:
+        bad = bad.unionByName(extra.select(
+            F.col("source_file").alias("file_name"), F.lit(quarantine.EXTRA_FIELDS).alias("reason"),
+            F.col(csv_files.EXTRA).alias("content")))
+    if rejected or extra is not None:
+        quarantine.set_aside(bad, held, "history", "flights", load(F.col("file_name")))
 
 
 def training_job(
@@ -322,6 +359,8 @@ def run_etl(
         )
         payloads.write_raw(bronze, lake.path("bronze"))
         counters = definition.load(spark, lake, incoming, endpoint, source, run_id)
+        if counters["files"] and counters["files"] == counters["unread_files"]:
+            raise ValueError(f"none of the {counters['files']} files is a JSON payload; they are in quarantine")
         payloads.ledger_rows(incoming, run_id).write.mode("append").parquet(
             lake.path("processed_files")
         )

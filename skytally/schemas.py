@@ -124,6 +124,12 @@ POINTS = T.StructType([
     T.StructField("Latitude", DOUBLE), T.StructField("Longitude", DOUBLE),
 ])
 
+# Rows and files that a load set aside, with what they held.
+QUARANTINE = _struct(
+    source=STRING, endpoint=STRING, file_name=STRING, record_ix=INT, reason=STRING, content=STRING,
+    set_aside_at=TS, load_id=STRING, load_key=STRING,
+)
+
 RUN_LOG = _struct(
     source=STRING, endpoint=STRING, stage=STRING, status=STRING, run_id=STRING, finished_at=TS,
     duration_seconds=DOUBLE, records_processed=LONG,

@@ -40,23 +40,39 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
 
 
-def _scan_text(spark: SparkSession, paths: list[str] | str, names: tuple[str, ...]) -> DataFrame:
+EXTRA = "_extra_fields"  # the raw record, where it has more values than the header has names
+
+
+def _scan_text(
+    spark: SparkSession, paths: list[str] | str, names: tuple[str, ...], mark_extra: bool = False
+) -> DataFrame:
     """Headed CSVs with a known header as text columns, UTF-8 or Latin-1; no inference pass."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(schema).csv(paths)
+    reader, marks = spark.read.options(**CSV_OPTIONS), []
+    if mark_extra:
+        # A reader of all columns marks records of another length; short ones are filled with nulls as they always are.
+        wider = T.StructType([*schema, T.StructField(EXTRA, T.StringType())])
+        # Spark refuses to read the mark alone, so it takes no character of the first column along.
+        raw = F.concat(F.col(EXTRA), F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
+        beyond = F.from_csv(raw, f"{wider.toDDL()}")[EXTRA]
+        marks = [F.when(raw.isNotNull() & beyond.isNotNull(), utf8_or_latin1(raw)).alias(EXTRA)]
+        rows = reader.options(columnNameOfCorruptRecord=EXTRA, columnPruning=False).schema(wider).csv(paths)
+    else:
+        rows = reader.option("enforceSchema", False).schema(schema).csv(paths)
     return rows.select(
-        [utf8_or_latin1(F.col(f"`{n}`")).alias(_clean_name(n)) for n in names]
+        [utf8_or_latin1(F.col(f"`{n}`")).alias(_clean_name(n)) for n in names] + marks
         + [F.col("_metadata.file_path").alias("source_file")]
     )
 
 
 def scan_history(
-    spark: SparkSession, folder: str, required: list[str] | None = None
+    spark: SparkSession, folder: str, required: list[str] | None = None, mark_extra: bool = False
 ) -> tuple[DataFrame | None, dict[str, list[str]]]:
     """Every ``Flights_*.csv`` below the folder as text columns plus ``source_file``.
 
     Files are grouped by header: one scan per distinct header, whatever the number of files. Files
-    that lack a required column are returned with the missing names instead of being scanned.
+    that lack a required column are returned with the missing names instead of being scanned. With
+    ``mark_extra`` a column ``EXTRA`` holds the raw text of records with more values than the header.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     rejected: dict[str, list[str]] = {}
@@ -67,7 +83,7 @@ def scan_history(
             rejected[row.path] = missing
         else:
             groups.setdefault(names, []).append(row.path)
-    scans = [_scan_text(spark, paths, names) for names, paths in groups.items()]
+    scans = [_scan_text(spark, paths, names, mark_extra) for names, paths in groups.items()]
     if not scans:
         return None, rejected
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans), rejected

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skytally.operators.joins import spread_input
 from skytally.plans import jobs
-from skytally.sources.payloads import named_parts, parse_payloads, payload_pattern
+from skytally.sources.payloads import named_parts, payload_pattern, try_parsed
 
 
 def read_incoming(
@@ -36,17 +36,17 @@ def ingest(
     """Load everything a stream of (file_name, run_id, payload) holds by now, then stop.
 
     Every output is keyed and the routes carry the batch number, so a batch that is replayed after a
-    failure leaves the tables as they were.
+    failure leaves the tables as they were. A file that is no JSON is set aside and does not stop the stream.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        held = parse_payloads(spread_input(batch)).persist()  # parsed once for the three outputs
+        held = try_parsed(spread_input(batch)).persist()  # parsed once for the three outputs
         try:
             jobs.load_documents(spark, lake, held, endpoint, source, f"stream-{batch_id}")
-            jobs.fan_out(spark, lake, held, source, endpoint, batch_id)
+            jobs.fan_out(spark, lake, held.where("payload IS NOT NULL"), source, endpoint, batch_id)
         finally:
             held.unpersist()
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from skytally.functions import variants
 from skytally.operators import search
 from skytally.operators.trigrams import TrigramIndex, literal_parts
-from skytally.plans import explorer, insights, jobs
+from skytally.plans import explorer, insights, jobs, quarantine
 from skytally.schemas import ROUTES, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
 from skytally.sources import payloads, tables
+from skytally.streaming.snapshots import ingest, read_incoming
 
 IDS = ["flight_iata", "flight_icao", "flight_number"]
 
@@ -220,3 +221,79 @@ def test_snapshot_files_by_rank(spark, tmp_path):
         (folder / name).write_text("{}")
         if name != "r1.txt":
             assert find() == [name]
+
+
+# --- quarantine --------------------------------------------------------------------------------
+
+
+def aside(spark, lake):
+    rows = quarantine.quarantined(spark, lake.path("quarantine"))
+    return sorted((r.file_name.rsplit("/", 1)[-1], r.record_ix, r.reason, r.content) for r in rows.collect())
+
+
+def test_loads_set_bad_files_and_records_aside(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    files = spark.createDataFrame([
+        ("a.json", json.dumps({"data": [flight("A1"), {"x": 1}, 7]})), ("b.json", "{oops"), ("c.json", "3"),
+        ("d.json", json.dumps({"data": []})), ("e.json", None), ("f.json", ""), ("g.json", json.dumps([flight("A2"), None]))],
+        "file_name string, payload string")
+    wanted = [
+        ("a.json", 1, "invalid_key", '{"x":1}'), ("a.json", 2, "not_an_object", "7"), ("b.json", None, "bad_json", "{oops"),
+        ("c.json", None, "no_record_list", "3"), ("e.json", None, "bad_json", None), ("f.json", None, "bad_json", ""),
+        ("g.json", 1, "not_an_object", "null")]
+    for _ in range(2):  # a load that is repeated replaces what it set aside
+        counters = jobs.load_documents(spark, lake, files, "flights", "aviationstack", "manual__2026-03-01T10:00:00+00:00")
+        assert {k: counters[k] for k in ("files", "records", "valid", "invalid", "unread_files")} == {
+            "files": 7, "records": 5, "valid": 2, "invalid": 3, "unread_files": 4}
+        assert sorted(aside(spark, lake), key=repr) == sorted(wanted, key=repr)
+    jobs.load_documents(spark, lake, files.where("file_name = 'b.json'"), "airlines", "aviationstack", "r2")
+    assert {(r.endpoint, r.reason, r.rows, r.files) for r in quarantine.reasons(
+        quarantine.quarantined(spark, lake.path("quarantine"))).where("endpoint = 'airlines'").collect()} == {
+            ("airlines", "bad_json", 1, 1)}
+    # Mended files: nothing is left of the load.
+    mended = files.where("file_name in ('d.json')")
+    jobs.load_documents(spark, lake, mended, "flights", "aviationstack", "manual__2026-03-01T10:00:00+00:00")
+    assert [r[0] for r in aside(spark, lake)] == ["b.json"]
+    assert {r.flight_number for r in jobs.read_documents(spark, lake, "flights").collect()} == {"A1", "A2"}
+
+
+def test_poison_file_does_not_stop_the_stream(spark, tmp_path):
+    lake, landed = jobs.Lake(str(tmp_path / "lake")), tmp_path / "in"
+    landed.mkdir()
+    name = lambda run: landed / f"aviationstack_flights_incoming_{run}.json"
+    name("r1").write_text('{"data": [')
+    name("r2").write_text(json.dumps({"data": [flight("A1")]}))
+
+    def load():
+        stream = read_incoming(spark, str(landed), "aviationstack", "flights")
+        ingest(lake, stream, "aviationstack", "flights", str(tmp_path / "cp")).awaitTermination()
+
+    load()
+    name("r3").write_text(json.dumps({"data": [flight("A2")]}))
+    load()
+    assert {r.flight_number for r in jobs.read_documents(spark, lake, "flights").collect()} == {"A1", "A2"}
+    assert [(r[0], r[2], r[3]) for r in aside(spark, lake)] == [
+        ("aviationstack_flights_incoming_r1.json", "bad_json", '{"data": [')]
+    assert {r.run_id for r in jobs.read_runs(spark, lake).collect()} == {"r2", "r3"}
+
+
+def test_history_sets_corrupt_records_aside(spark, tmp_path):
+    lake, folder = jobs.Lake(str(tmp_path / "lake")), tmp_path / "csv"
+    folder.mkdir()
+    header = ("ECTRL ID,ADEP,ADEP Latitude,ADEP Longitude,ADES,ADES Latitude,ADES Longitude,FILED OFF BLOCK TIME,"
+              "ACTUAL OFF BLOCK TIME,AC Type,AC Operator,Requested FL,Actual Distance Flown (nm)")
+    line = "{},LFPG,49.0,2.5,LFBO,43.6,1.4,01-03-2023 10:00:00,01-03-2023 10:20:00,A320,{},350,310"
+    write = lambda name, *lines: (folder / name).write_bytes("\n".join([header, *lines, ""]).encode("latin-1"))
+    extra = line.format(2, "Zé") + ",boom,x"
+    write("Flights_1.csv", line.format(1, '"a, b"'), extra, line.format(3, "op") + ",")
+    write("Flights_2.csv", line.format(4, "op"), line.format(5, "op").rsplit(",", 1)[0])  # one value short: kept
+    (folder / "Flights_3.csv").write_text("ADEP,ADES\nLFPG,LFBO\n")
+    for _ in range(2):
+        done = jobs.history_job(spark, lake, str(folder))
+        assert (done["rows"], done["set_aside"], len(done["rejected"])) == (4, 1, 1)
+        found = aside(spark, lake)
+        assert [(r[0], r[2]) for r in found] == [("Flights_1.csv", "extra_fields"), ("Flights_3.csv", "missing_columns")]
+        assert found[0][3] == extra and "ACTUAL OFF BLOCK TIME" in found[1][3]
+    write("Flights_1.csv", line.format(1, "op"))
+    done = jobs.history_job(spark, lake, str(folder))
+    assert (done["rows"], done["set_aside"]) == (3, 0) and [r[0] for r in aside(spark, lake)] == ["Flights_3.csv"]
