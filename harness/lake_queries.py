@@ -9,6 +9,8 @@ from harness.flight_queries import NEWEST, PRED_COLUMNS, PRED_SELECT, REGION
 from harness.registry import query
 from skytally.operators.search import quoted
 from skytally.plans import explorer, jobs, quarantine, serving
+from skytally.sources.table_schemas import stored_schema
+from skytally.sources.tables import read_table
 
 # --- substring search by postings ------------------------------------------------------------
 
@@ -133,3 +135,23 @@ FROM v_obs WHERE event_id % 13 <> 0 AND event_id % 7 NOT IN (4, 5)""")
 def poisoned_documents(spark, sf_dir):
     documents = jobs.read_documents(spark, stored.poisoned_lake(spark, sf_dir), "flights")
     return documents.agg(F.count(F.lit(1)).alias("documents"))
+
+
+# --- stored schemas ------------------------------------------------------------------------------
+
+
+@query("schema_evolution", views=("v_obs",), oracle="""
+SELECT event_id, run_id, flight_iata, CAST(departure_delay AS BIGINT) AS departure_delay,
+       CASE WHEN CAST(right(run_id, 2) AS INT) % 2 = 1 THEN arrival_delay END AS arrival_delay FROM v_obs""")
+def schema_evolution(spark, sf_dir):
+    return read_table(spark, stored.evolved_table(spark, sf_dir))
+
+
+@query("evolved_columns", views=("v_obs",), oracle="""
+SELECT * FROM (VALUES ('event_id', 'bigint'), ('flight_iata', 'string'), ('departure_delay', 'bigint'), ('run_id', 'string'),
+  ('arrival_delay', 'int')) AS c (name, type) WHERE EXISTS (SELECT * FROM v_obs)""")
+def evolved_columns(spark, sf_dir):
+    schema = stored_schema(spark, stored.evolved_table(spark, sf_dir))
+    columns = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in schema])
+    rows = read_table(spark, stored.evolved_table(spark, sf_dir))
+    return rows.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.inline(columns))

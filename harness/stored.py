@@ -12,6 +12,7 @@ from harness.views import table
 from skytally.operators.trigrams import TrigramIndex
 from skytally.plans import jobs
 from skytally.session import scratch_path
+from skytally.sources.tables import put
 
 _built: dict[tuple[str, str, str], object] = {}
 
@@ -91,3 +92,17 @@ def poisoned_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
         return lake
 
     return once("poisoned", spark, sf_dir, build)
+
+
+def evolved_table(spark: SparkSession, sf_dir: str) -> str:
+    """v_obs by run, written by two loads: the later one has another column and wider delays."""
+
+    def build():
+        path = scratch_path(spark, "evolved")
+        rows = table(spark, sf_dir, "v_obs").select("run_id", "event_id", "flight_iata", "departure_delay", "arrival_delay")
+        narrow = rows.where(~odd_day()).drop("arrival_delay")
+        put(narrow.withColumn("departure_delay", F.col("departure_delay").cast("int")), path, ("run_id",))
+        put(rows.where(odd_day()).withColumn("departure_delay", F.col("departure_delay").cast("bigint")), path, ("run_id",))
+        return path
+
+    return once("evolved", spark, sf_dir, build)

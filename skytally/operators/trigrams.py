@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from skytally.operators.search import MASK_ID_COLUMNS, SQL_ID_COLUMNS, contains_text, like_any_id, quoted
 from skytally.session import cut_lineage
+from skytally.sources.table_schemas import keep_schema
 from skytally.sources.tables import read_table, touched
 
 GRAM = 3
@@ -79,6 +80,7 @@ class TrigramIndex:
         ).select("gram", "field", "part", "row", folder_of(F.col("gram")).alias("folder"))
 
     def _write(self, postings: DataFrame, mode: str) -> None:
+        keep_schema(postings.sparkSession, self.path, postings.schema)
         # REBALANCE splits the folder of a frequent trigram over several files.
         (
             postings.hint("rebalance", F.col("folder"))

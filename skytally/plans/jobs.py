@@ -198,11 +198,7 @@ def history_job(spark: SparkSession, lake: Lake, folder: str) -> dict[str, objec
     rows = features.history_features(staged.where(extra.isNull()).drop(csv_files.EXTRA)).withColumns(
         {FILE_KEY: key, LOAD: F.lit(load)})
     target = lake.path("eurocontrol_historical_data")
-    (
-        rows.hint("rebalance", F.col(FILE_KEY))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(FILE_KEY).parquet(target)
-    )
+    tables.put(rows, target, (FILE_KEY,))
     corrupt = staged.where(extra.isNotNull())
     set_aside = corrupt.count()
     set_history_aside(spark, lake, corrupt if set_aside else None, rejected, history)
@@ -361,9 +357,7 @@ def run_etl(
         counters = definition.load(spark, lake, incoming, endpoint, source, run_id)
         if counters["files"] and counters["files"] == counters["unread_files"]:
             raise ValueError(f"none of the {counters['files']} files is a JSON payload; they are in quarantine")
-        payloads.ledger_rows(incoming, run_id).write.mode("append").parquet(
-            lake.path("processed_files")
-        )
+        tables.put(payloads.ledger_rows(incoming, run_id), lake.path("processed_files"), mode="append")
     except Exception as error:
         runlog.log_event(spark, events, "ERROR", "cli", "etl_failed", error=str(error), **labels)
         runlog.record_run(

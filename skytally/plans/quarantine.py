@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skytally.functions import records as R
 from skytally.schemas import QUARANTINE
 from skytally.sources.payloads import try_parsed
-from skytally.sources.tables import conform, drop_partition, read_table
+from skytally.sources.tables import conform, drop_partition, put, read_table
 
 # Reasons.
 BAD_JSON = "bad_json"  # the file is no JSON
@@ -59,10 +59,7 @@ def set_aside(
         "source": as_column(source), "endpoint": as_column(endpoint), "load_id": load_id,
         "load_key": load_key(load_id), "set_aside_at": F.current_timestamp(),
     })
-    (
-        conform(rows, QUARANTINE).hint("rebalance", F.col("load_key"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_key").parquet(path)
-    )
+    put(conform(rows, QUARANTINE), path, ("load_key",))
 
 
 def forget(spark: SparkSession, path: str, load_ids: DataFrame) -> None:

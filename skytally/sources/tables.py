@@ -9,13 +9,18 @@ from pyspark.sql import types as T
 
 from skytally.operators.joins import with_computed
 from skytally.session import cut_lineage
+from skytally.sources.table_schemas import keep_schema, stored_schema
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table, or an empty one of ``schema`` (None without a schema) when nothing is there."""
+    """The table, or an empty one of ``schema`` (None without a schema) when nothing is there.
+
+    Without a schema the table's stored one is used; footers are merged only where a table has none.
+    """
     try:
-        if schema:  # partition columns outside the contract are left out
-            return spark.read.schema(schema).parquet(path).select(schema.names)
+        wanted = schema if schema else stored_schema(spark, path)
+        if wanted is not None:  # partition columns outside the contract are left out
+            return spark.read.schema(wanted).parquet(path).select([F.col(f"`{n}`") for n in wanted.names])
         return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as missing:
         if not any(code in str(missing) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
@@ -42,6 +47,24 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
+def put(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+    """Write rows and keep the table's schema up with them.
+
+    ``overwrite`` replaces the partitions the rows are in, or the whole of a table without partitions.
+    """
+    spark = df.sparkSession
+    if partition_by or mode == "append":
+        keep_schema(spark, path, df.schema)
+        if partition_by:
+            # REBALANCE splits a hot partition over several files and merges small ones.
+            df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+        writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
+        keep_schema(spark, path, df.schema)
+
+
 def replace_partitions(
     df: DataFrame, path: str, partition_by: tuple[str, ...] = (), checkpointed: bool = False
 ) -> DataFrame:
@@ -51,17 +74,7 @@ def replace_partitions(
     the files that were read may then be replaced. Returns the checkpointed rows for further use.
     """
     done = df if checkpointed else cut_lineage(df)
-    if not partition_by:
-        done.write.mode("overwrite").parquet(path)
-        return done
-    # REBALANCE splits a hot partition over several files and merges small ones.
-    (
-        done.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    put(done, path, partition_by)
     return done
 
 
@@ -86,24 +99,19 @@ def touched(table: DataFrame, batch: DataFrame, column: str, max_values: int = 5
 
 
 def append_csv(spark: SparkSession, csv_path: str, table_path: str) -> int:
-    """Bulk append of a headed CSV as text columns; loading the same file again replaces its rows."""
+    """Bulk append of a headed CSV as text columns; loading the same file again replaces its rows.
+
+    Files are told apart by their whole path, and may differ in their columns.
+    """
     if not csv_path.endswith(".csv"):
         raise ValueError("only .csv files can be loaded")
     rows = spark.read.option("header", True).csv(csv_path)
     if not rows.columns:
         raise ValueError("the CSV file is empty")
-    rows = rows.toDF(*[c.strip() for c in rows.columns]).select(
-        "*", F.lit(csv_path.rsplit("/", 1)[-1]).alias("source_file")
-    )
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_file")
-        .parquet(table_path)
-    )
-    return read_table(spark, table_path).where(
-        F.col("source_file") == csv_path.rsplit("/", 1)[-1]
-    ).count()
+    key = F.concat(F.lit("f"), F.md5(F.lit(csv_path)))
+    rows = rows.toDF(*[c.strip() for c in rows.columns]).withColumns({"source_file": F.lit(csv_path), "source_key": key})
+    put(rows, table_path, ("source_key",))
+    return read_table(spark, table_path).where(F.col("source_key") == key).count()
 
 
 def scan_training(table: DataFrame, columns: list[str]) -> DataFrame:

@@ -3,9 +3,11 @@
 import json
 import random
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytally.functions import variants
 from skytally.operators import search
@@ -13,7 +15,7 @@ from skytally.operators.trigrams import TrigramIndex, literal_parts
 from skytally.plans import explorer, insights, jobs, quarantine
 from skytally.schemas import ROUTES, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
-from skytally.sources import payloads, tables
+from skytally.sources import payloads, table_schemas, tables
 from skytally.streaming.snapshots import ingest, read_incoming
 
 IDS = ["flight_iata", "flight_icao", "flight_number"]
@@ -297,3 +299,78 @@ def test_history_sets_corrupt_records_aside(spark, tmp_path):
     write("Flights_1.csv", line.format(1, "op"))
     done = jobs.history_job(spark, lake, str(folder))
     assert (done["rows"], done["set_aside"]) == (3, 0) and [r[0] for r in aside(spark, lake)] == ["Flights_3.csv"]
+
+
+# --- stored schemas ----------------------------------------------------------------------------
+
+
+def test_types_widen_or_fail(spark):
+    wide = lambda a, b: table_schemas.widened(T.StructType.fromDDL(a), T.StructType.fromDDL(b)).simpleString()
+    assert wide("a int, s struct<x: int>", "b string, a bigint, s struct<x: bigint, y: date>") == (
+        "struct<a:bigint,s:struct<x:bigint,y:date>,b:string>")
+    assert wide("a bigint, b float, c decimal(5,2), d array<tinyint>", "a smallint, b int, c decimal(6,4), d array<int>") == (
+        "struct<a:bigint,b:double,c:decimal(7,4),d:array<int>>")
+    assert wide("a void", "a date") == wide("a date", "a void") == "struct<a:date>"
+    for a, b in (("a int", "a string"), ("a bigint", "a double"), ("s struct<x: int>", "s struct<x: date>")):
+        with pytest.raises(ValueError, match="cannot hold"):
+            wide(a, b)
+
+
+def jobs_of(spark, action):
+    """Number of Spark jobs an action runs."""
+    group = f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+    finally:
+        spark.sparkContext.setJobGroup("rest", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_tables_are_read_by_their_stored_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put = lambda sql, **how: tables.put(spark.sql(sql), path, **how)
+    assert tables.read_table(spark, path) is None
+    put("select 'p1' p, cast(1 as int) a", partition_by=("p",))
+    put("select 'p2' p, cast(7000000000 as bigint) a, 'x' `b c`", partition_by=("p",))
+    put("select 'p3' p, 'y' `b c`", partition_by=("p",), mode="append")
+    read = lambda: tables.read_table(spark, path)
+    assert sorted(map(tuple, read().select("p", "a", "`b c`").collect())) == [
+        ("p1", 1, None), ("p2", 7000000000, "x"), ("p3", None, "y")]
+    assert jobs_of(spark, read) == 0 < jobs_of(spark, lambda: spark.read.parquet(path))
+    with pytest.raises(Exception, match="CANNOT_MERGE"):  # the footers alone do not go together
+        spark.read.option("mergeSchema", True).parquet(path)
+    with pytest.raises(ValueError):
+        put("select 'p1' p, 'text' a", partition_by=("p",))
+    assert read().where("p = 'p1'").select("a").first()[0] == 1  # nothing was written
+    put("select 'p1' p, cast(5 as int) a", partition_by=("p",))
+    assert {r.p: r.a for r in read().collect()} == {"p1": 5, "p2": 7000000000, "p3": None}
+    assert sorted(p.name for p in (tmp_path / "t" / "_schema").glob("*.json")) == ["1.json", "2.json"]
+    # A table from before, without a stored schema, and one that is replaced as a whole.
+    old = str(tmp_path / "old")
+    spark.sql("select 1 a").write.parquet(old)
+    assert tables.read_table(spark, old).columns == ["a"]
+    tables.put(spark.sql("select 2 b"), old)
+    assert tables.read_table(spark, old).columns == ["b"]
+
+
+def test_schema_writers_do_not_lose_each_others_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    threads = [threading.Thread(target=table_schemas.keep_schema, args=(
+        spark, path, T.StructType.fromDDL(f"c{n} int"))) for n in range(6)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(table_schemas.stored_schema(spark, path).names) == [f"c{n}" for n in range(6)]
+
+
+def test_csv_files_of_one_name_keep_their_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for folder, text in (("a b", "x,y\n1,2\n"), ("c", "x, z\n3,4\n5,6\n")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "f.csv").write_text(text)
+    load = lambda folder: tables.append_csv(spark, str(tmp_path / folder / "f.csv"), table)
+    assert (load("a b"), load("c"), load("a b")) == (1, 2, 1)
+    rows = tables.read_table(spark, table).select("x", "y", "z").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", None), ("3", None, "4"), ("5", None, "6")]
