@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from harness import stored
 from harness.flight_queries import NEWEST, PRED_COLUMNS, PRED_SELECT, REGION
-from harness.registry import query
+from harness.registry import query, stamp
+from harness.views import table
 from skytally.operators.search import quoted
-from skytally.plans import explorer, jobs, quarantine, serving
+from skytally.plans import explorer, jobs, quarantine, runlog, serving
 from skytally.sources.table_schemas import stored_schema
 from skytally.sources.tables import read_table
 
@@ -155,3 +158,43 @@ def evolved_columns(spark, sf_dir):
     columns = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in schema])
     rows = read_table(spark, stored.evolved_table(spark, sf_dir))
     return rows.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.inline(columns))
+
+
+# --- run metrics over a time range ----------------------------------------------------------------
+
+SERIES = runlog.TimeRange(datetime(2024, 1, 5), datetime(2024, 1, 12, 1), 6 * 3600)
+GRID = "grid AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-12 01:00', INTERVAL 6 HOUR)) AS t)"
+
+
+@query("run_metric_series", views=("v_runs",), oracle=f"""
+WITH {GRID}
+SELECT {stamp('t')} AS "at", source, endpoint, stage,
+       CAST(arg_max(struct_pack(v := status = 'success'), (finished_at, run_id)).v AS BIGINT) AS status_value,
+       round(arg_max(struct_pack(v := duration_seconds), (finished_at, run_id)).v, 6) AS duration_seconds,
+       arg_max(struct_pack(v := records_processed), (finished_at, run_id)).v AS records_processed
+FROM grid JOIN v_runs ON finished_at <= t GROUP BY t, source, endpoint, stage""")
+def run_metric_series(spark, sf_dir):
+    return runlog.metric_series(table(spark, sf_dir, "v_runs"), SERIES)
+
+
+@query("executions_by_step", views=("v_runs",), oracle=f"""
+WITH {GRID},
+held AS (SELECT * FROM v_runs WHERE finished_at > TIMESTAMP '2024-01-05' AND finished_at <= (SELECT max(t) FROM grid)),
+groups AS (SELECT DISTINCT endpoint, stage, status FROM held)
+SELECT {stamp('t')} AS "at", g.endpoint, g.stage, g.status, COUNT(h.run_id) AS executions
+FROM grid CROSS JOIN groups g LEFT JOIN held h ON h.endpoint = g.endpoint AND h.stage = g.stage AND h.status = g.status
+     AND h.finished_at > t - INTERVAL 6 HOUR AND h.finished_at <= t
+WHERE t > TIMESTAMP '2024-01-05' GROUP BY t, g.endpoint, g.stage, g.status""")
+def executions_by_step(spark, sf_dir):
+    return runlog.executions_by_step(table(spark, sf_dir, "v_runs"), SERIES)
+
+
+@query("run_range_gauges", views=("v_runs",), oracle="""
+SELECT endpoint, arg_max(CAST(status = 'success' AS BIGINT), (finished_at, run_id)) AS last_status,
+       round(arg_max(duration_seconds, (finished_at, run_id)), 6) AS last_duration_seconds,
+       arg_max(records_processed, (finished_at, run_id)) AS last_records_processed,
+       MAX(CAST(status = 'success' AS BIGINT)) AS max_status, round(MAX(duration_seconds), 6) AS max_duration_seconds,
+       MAX(records_processed) AS max_records_processed
+FROM v_runs WHERE finished_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12 01:00' GROUP BY 1""")
+def run_range_gauges(spark, sf_dir):
+    return runlog.gauges(runlog.in_range(table(spark, sf_dir, "v_runs"), SERIES), ["endpoint"])

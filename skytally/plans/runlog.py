@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skytally.schemas import RUN_EVENTS, RUN_LOG
@@ -90,3 +91,88 @@ def executions_by_status(runs: DataFrame) -> DataFrame:
 
 def label_values(runs: DataFrame, label: str) -> DataFrame:
     return runs.select(label).distinct().orderBy(label)
+
+
+# --- series over a time range ------------------------------------------------------------------
+
+MAX_STEPS = 11_000
+
+
+@dataclass(frozen=True)
+class TimeRange:
+    """Points from ``start`` to ``end`` (UTC where they name no zone), ``step_seconds`` apart."""
+
+    start: datetime
+    end: datetime
+    step_seconds: int
+
+    def __post_init__(self) -> None:
+        if self.step_seconds <= 0 or self.micros(self.end) < self.micros(self.start):
+            raise ValueError("a time range needs a positive step and an end that is not before its start")
+        if self.steps >= MAX_STEPS:
+            raise ValueError(f"a time range has at most {MAX_STEPS} points")
+
+    @staticmethod
+    def micros(at: datetime) -> int:
+        at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+        since = at - datetime(1970, 1, 1, tzinfo=timezone.utc)
+        return (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
+
+    @property
+    def steps(self) -> int:
+        return (self.micros(self.end) - self.micros(self.start)) // (self.step_seconds * 1_000_000)
+
+    def step_of(self, at: Column) -> Column:
+        """Number of the first point at or after a time; negative for times before the range."""
+        past = F.unix_micros(at.cast("timestamp")) - self.micros(self.start)
+        return F.ceil(past / (self.step_seconds * 1_000_000)).cast("int")
+
+    def point(self, number: Column) -> Column:
+        return F.timestamp_micros(number.cast("long") * (self.step_seconds * 1_000_000) + self.micros(self.start))
+
+    def numbers(self, first: int = 0) -> Column:
+        return F.explode(F.sequence(F.lit(first), F.lit(self.steps)) if self.steps >= first else F.array().cast("array<int>"))
+
+
+def in_range(runs: DataFrame, over: TimeRange) -> DataFrame:
+    """Runs that finished in the range; with :func:`gauges` the last and highest values over it."""
+    at = F.unix_micros(F.col("finished_at").cast("timestamp"))
+    return runs.where(at.between(over.micros(over.start), over.micros(over.end)))
+
+
+def metric_series(runs: DataFrame, over: TimeRange, labels: list[str] = LABELS) -> DataFrame:
+    """Status, duration and records of the last run at each point of the range, per label group.
+
+    The last run counts from the point at or after its end until the next one, runs before the range too. Runs
+    are reduced to one per group and step before the window, so it sorts at most the range's points.
+    """
+    values = ["status_value", "duration_seconds", "records_processed"]
+    ok = F.when(F.col("status") == "success", 1).otherwise(0)
+    ties = ["run_id"] if "run_id" in runs.columns else []
+    step = F.greatest(over.step_of(F.col("finished_at")), F.lit(0))
+    held = (
+        runs.where("finished_at IS NOT NULL")
+        .select(*labels, *ties, "finished_at", ok.alias("status_value"), *values[1:], step.alias("step"))
+        .where(F.col("step") <= over.steps)
+    )
+    last = held.groupBy(*labels, "step").agg(
+        F.max_by(F.struct(*values), F.struct("finished_at", *ties)).alias("seen"))
+    grid = held.select(*labels).distinct().select(*labels, over.numbers().alias("step")).withColumn(
+        "seen", F.lit(None).cast(last.schema["seen"].dataType))
+    points = last.unionByName(grid).groupBy(*labels, "step").agg(F.first("seen", ignorenulls=True).alias("seen"))
+    until = Window.partitionBy(*labels).orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = points.withColumn("seen", F.last("seen", ignorenulls=True).over(until)).where("seen IS NOT NULL")
+    return carried.select(over.point(F.col("step")).alias("at"), *labels, *[F.col(f"seen.{v}").alias(v) for v in values])
+
+
+def executions_by_step(
+    runs: DataFrame, over: TimeRange, labels: tuple[str, ...] = ("endpoint", "stage", "status")
+) -> DataFrame:
+    """Runs that finished since the point before, per label group; zero where a group of the range had none."""
+    step = over.step_of(F.col("finished_at"))
+    held = runs.where("finished_at IS NOT NULL").select(*labels, step.alias("step")).where(
+        F.col("step").between(1, over.steps))
+    counted = held.groupBy(*labels, "step").agg(F.count(F.lit(1)).alias("n"))
+    grid = counted.select(*labels).distinct().select(*labels, over.numbers(1).alias("step"), F.lit(0).cast("long").alias("n"))
+    filled = counted.unionByName(grid).groupBy(*labels, "step").agg(F.sum("n").alias("executions"))
+    return filled.select(over.point(F.col("step")).alias("at"), *labels, "executions")

@@ -4,6 +4,7 @@ import json
 import random
 import re
 import threading
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql import types as T
 from skytally.functions import variants
 from skytally.operators import search
 from skytally.operators.trigrams import TrigramIndex, literal_parts
-from skytally.plans import explorer, insights, jobs, quarantine
-from skytally.schemas import ROUTES, SNAPSHOT_INSIGHTS
+from skytally.plans import explorer, insights, jobs, quarantine, runlog
+from skytally.schemas import ROUTES, RUN_LOG, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
 from skytally.sources import payloads, table_schemas, tables
 from skytally.streaming.snapshots import ingest, read_incoming
@@ -374,3 +375,38 @@ def test_csv_files_of_one_name_keep_their_rows(spark, tmp_path):
     assert (load("a b"), load("c"), load("a b")) == (1, 2, 1)
     rows = tables.read_table(spark, table).select("x", "y", "z").collect()
     assert sorted(map(tuple, rows)) == [("1", "2", None), ("3", None, "4"), ("5", None, "6")]
+
+
+# --- run metrics over a time range ---------------------------------------------------------------
+
+
+def test_series_carry_the_last_run_forward(spark):
+    rng, start = random.Random(8), datetime(2024, 3, 1)
+    over = runlog.TimeRange(start, start + timedelta(hours=10, minutes=5), 1800)
+    rows = []
+    for n in range(120):
+        at = start + timedelta(seconds=rng.choice([rng.randrange(-9000, 50_000), 1800 * rng.randrange(-3, 24)]))
+        rows.append(("s", rng.choice("ef"), rng.choice("gh"), rng.choice(["success", "failed"]), f"r{n:03d}", at,
+                     float(n), None if n % 4 == 0 else n))
+    rows.append(("s", "late", "g", "success", "x", start + timedelta(days=2), 1.0, 1))
+    rows.append(("s", "unknown", "g", "success", "x", None, 1.0, 1))
+    runs = spark.createDataFrame(rows, RUN_LOG).repartition(5)
+    points = [start + timedelta(seconds=1800 * k) for k in range(21)]
+    wanted = []
+    for at in points:
+        for group in {r[:3] for r in rows}:
+            seen = [r for r in rows if r[:3] == group and r[5] and r[5] <= at]
+            if seen:
+                last = max(seen, key=lambda r: (r[5], r[4]))
+                wanted.append((at, *group, int(last[3] == "success"), last[6], last[7]))
+    assert sorted(map(repr, map(tuple, runlog.metric_series(runs, over).collect()))) == sorted(map(repr, wanted))
+    held = [r for r in rows if r[5] and points[0] < r[5] <= points[-1]]
+    wanted = [(at, *group, sum(r[1:4] == group and at - timedelta(seconds=1800) < r[5] <= at for r in held))
+              for at in points[1:] for group in {r[1:4] for r in held}]
+    assert sorted(map(tuple, runlog.executions_by_step(runs, over).collect())) == sorted(wanted)
+    one = runlog.TimeRange(start, start, 60)
+    assert {r.at for r in runlog.metric_series(runs, one).collect()} == {start}
+    assert runlog.executions_by_step(runs, one).count() == 0
+    for bad in ((start, start - timedelta(1), 60), (start, start, 0), (start, start + timedelta(days=30), 60)):
+        with pytest.raises(ValueError):
+            runlog.TimeRange(*bad)
