@@ -198,3 +198,24 @@ SELECT endpoint, arg_max(CAST(status = 'success' AS BIGINT), (finished_at, run_i
 FROM v_runs WHERE finished_at BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12 01:00' GROUP BY 1""")
 def run_range_gauges(spark, sf_dir):
     return runlog.gauges(runlog.in_range(table(spark, sf_dir, "v_runs"), SERIES), ["endpoint"])
+
+
+# --- run log upkeep -------------------------------------------------------------------------------
+
+
+@query("run_log_compacted", views=("v_runs",), oracle=f"""
+SELECT CAST(run_id AS VARCHAR) AS run_id, source, endpoint, stage, status, {stamp('finished_at')} AS finished_at,
+       round(duration_seconds, 6) AS duration_seconds, records_processed
+FROM v_runs WHERE NOT (source = 'aviationstack' AND endpoint = 'airports' AND stage = 'load_signup')""")
+def run_log_compacted(spark, sf_dir):
+    return runlog.read_runs(spark, stored.kept_log(spark, sf_dir))
+
+
+@query("run_log_files", views=("v_runs",), oracle=f"""
+SELECT endpoint, stage, COUNT(DISTINCT CAST(finished_at AS DATE)) AS files, COUNT(*) AS runs
+FROM v_runs WHERE stage <> 'load_signup' AND finished_at < TIMESTAMP '{stored.COMPACTED_BEFORE}' GROUP BY 1, 2""")
+def run_log_files(spark, sf_dir):
+    rows = runlog.read_runs(spark, stored.kept_log(spark, sf_dir))
+    closed = rows.where(F.col("finished_at") < stored.COMPACTED_BEFORE)
+    return closed.groupBy("endpoint", "stage").agg(
+        F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("runs"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from harness import inputs
 from harness.views import table
 from skytally.operators.trigrams import TrigramIndex
-from skytally.plans import jobs
+from skytally.plans import jobs, runlog
+from skytally.schemas import RUN_LOG
 from skytally.session import scratch_path
 from skytally.sources.tables import put
 
@@ -106,3 +107,21 @@ def evolved_table(spark: SparkSession, sf_dir: str) -> str:
         return path
 
     return once("evolved", spark, sf_dir, build)
+
+
+COMPACTED_BEFORE, DROPPED = "2024-01-21", dict(source="aviationstack", endpoint="airports", stage="load_signup")
+
+
+def kept_log(spark: SparkSession, sf_dir: str) -> str:
+    """v_runs recorded in three loads, closed days compacted, one label group deleted."""
+
+    def build():
+        path = scratch_path(spark, "runs")
+        runs = table(spark, sf_dir, "v_runs").withColumn("run_id", F.col("run_id").cast("string"))
+        for third in range(3):
+            runlog.record_runs(runs.where(F.col("run_id").cast("long") % 3 == third), path)
+        runlog.compact(spark, path, RUN_LOG, COMPACTED_BEFORE)
+        runlog.delete_runs(spark, path, **DROPPED)
+        return path
+
+    return once("runs", spark, sf_dir, build)

@@ -94,6 +94,8 @@ def with_views(sql: str, *names: str) -> str:
                 ordered.append(part)
     ctes = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in ordered)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -88,7 +88,7 @@ def build_pipeline(preset: str = "forest_job", seed: int = SEED, **overrides) ->
     """Scaling, one-hot and classifier.
 
     ``handleInvalid="keep"`` gives unseen operators an extra index that ``dropLast`` removes, so
-    they encode to zeros.
+    they encode to zeros (:func:`feature_stages`).
     """
     if preset not in PRESETS:
         raise ValueError(f"unknown preset {preset!r}, expected one of {sorted(PRESETS)}")
@@ -101,15 +101,33 @@ def build_pipeline(preset: str = "forest_job", seed: int = SEED, **overrides) ->
         classifier = GBTClassifier(**common)
     if chosen["balanced"]:
         classifier.setWeightCol(WEIGHT)
+    return Pipeline(stages=[*feature_stages(), classifier])
+
+
+def feature_stages() -> list:
+    """Scaled numbers and the one-hot operator, in this order, as ``features``."""
     category = CATEGORICAL_FEATURES[0]
-    return Pipeline(stages=[
+    return [
         VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="_numeric"),
         StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True, withStd=True),
         StringIndexer(inputCol=category, outputCol="_category", handleInvalid="keep"),
         OneHotEncoder(inputCols=["_category"], outputCols=["_onehot"], dropLast=True),
         VectorAssembler(inputCols=["_scaled", "_onehot"], outputCol="features"),
-        classifier,
-    ])
+    ]
+
+
+def feature_names(fitted: PipelineModel) -> list[str]:
+    """Names of the slots of ``features``: numbers by their column, operators by their value."""
+    indexer = next(s for s in fitted.stages if hasattr(s, "labelsArray"))
+    return [*NUMERIC_FEATURES, *[f"{CATEGORICAL_FEATURES[0]}={v}" for v in indexer.labelsArray[0]]]
+
+
+def feature_matrix(fitted: PipelineModel, rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns and what the classifier sees, a column per slot."""
+    stages = [s for s in fitted.stages if not hasattr(s, "featureImportances")]
+    made = PipelineModel(stages).transform(rows).select(*[F.col(f"`{c}`") for c in keep], vector_to_array("features").alias("_f"))
+    return made.select(*[F.col(f"`{c}`") for c in keep], *[
+        F.col("_f")[n].alias(name) for n, name in enumerate(feature_names(fitted))])
 
 
 def train(rows: DataFrame, preset: str = "forest_job", seed: int = SEED, **overrides) -> PipelineModel:

@@ -8,12 +8,27 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytally.schemas import RUN_EVENTS, RUN_LOG
+from skytally.session import cut_lineage
+from skytally.sources.tables import conform, drop_partition, put, read_table
 
 LABELS = ["source", "endpoint", "stage"]
 
 
+DAY = "day"  # partition below the labels; closed days can be compacted
+
+
+def _by_day(rows: DataFrame, at: str) -> DataFrame:
+    return rows.withColumn(DAY, F.date_format(F.col(at).cast("timestamp"), "yyyy-MM-dd"))
+
+
+def record_runs(runs: DataFrame, path: str) -> None:
+    """Append finished runs; one file per label group and day they touch."""
+    put(_by_day(conform(runs, RUN_LOG), "finished_at"), path, (*LABELS, DAY), mode="append")
+
+
 def record_run(
     spark: SparkSession, path: str, *, source: str, endpoint: str, stage: str, status: str,
     duration_seconds: float, records_processed: int | None = None, run_id: str | None = None,
@@ -29,16 +44,35 @@ def record_run(
         source, endpoint, stage, status, run_id, finished_at or datetime.now(timezone.utc),
         float(duration_seconds), records_processed,
     )
-    spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").partitionBy(*LABELS).parquet(path)
+    record_runs(spark.createDataFrame([row], RUN_LOG), path)
 
 
-def forget_runs(runs: DataFrame, *, source: str, endpoint: str, stage: str) -> DataFrame:
-    """The log without one label group (one partition of the table)."""
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, RUN_LOG)
+
+
+def _same_labels(source: str, endpoint: str, stage: str) -> Column:
     wanted = {"source": source, "endpoint": endpoint, "stage": stage}
     same = F.lit(True)
     for label, value in wanted.items():
         same = same & (F.col(label) == value.strip().lower())
-    return runs.where(~same)
+    return same
+
+
+def forget_runs(runs: DataFrame, *, source: str, endpoint: str, stage: str) -> DataFrame:
+    """The log without one label group."""
+    return runs.where(~_same_labels(source, endpoint, stage))
+
+
+def delete_runs(spark: SparkSession, path: str, *, source: str, endpoint: str, stage: str) -> int:
+    """Delete the folders of one label group from the stored log; returns how many."""
+    rows = read_runs(spark, path).where(_same_labels(source, endpoint, stage))
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    # File paths are url-encoded; folders are found by name, whatever characters the labels have.
+    folders = [r[0] for r in rows.select(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))).distinct().collect()]
+    for found in folders:
+        drop_partition(spark, found)
+    return len(folders)
 
 
 def log_event(spark: SparkSession, path: str, level: str, stage: str, event: str, **details) -> None:
@@ -46,7 +80,24 @@ def log_event(spark: SparkSession, path: str, level: str, stage: str, event: str
         datetime.now(timezone.utc), level.upper(), stage, event,
         json.dumps(details, ensure_ascii=False, default=str),
     )
-    spark.createDataFrame([row], RUN_EVENTS).coalesce(1).write.mode("append").parquet(path)
+    put(_by_day(spark.createDataFrame([row], RUN_EVENTS), "timestamp"), path, (DAY,), mode="append")
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, before: str) -> None:
+    """Rewrite the days before ``before`` (yyyy-MM-dd), so that each of their folders holds few files.
+
+    Runs are recorded as they finish, a file each; no one appends to a day that is over, so its folders can be
+    replaced whole. Folders that hold one file are left alone.
+    """
+    full = T.StructType([*schema, T.StructField(DAY, T.StringType())])
+    labels = [c for c in LABELS if c in schema.names] if schema == RUN_LOG else []
+    folders = [*labels, DAY]
+    stored = read_table(spark, path, full)
+    if stored.isEmpty():
+        return
+    closed = stored.where(F.col(DAY) < before)
+    split = closed.groupBy(*folders).agg(F.count_distinct("_metadata.file_path").alias("files")).where("files > 1")
+    put(cut_lineage(closed.join(split.drop("files"), folders, "left_semi").select(full.names)), path, tuple(folders))
 
 
 def event_lines(events: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from skytally.functions import variants
 from skytally.operators import search
 from skytally.operators.trigrams import TrigramIndex, literal_parts
 from skytally.plans import explorer, insights, jobs, quarantine, runlog
-from skytally.schemas import ROUTES, RUN_LOG, SNAPSHOT_INSIGHTS
+from skytally.schemas import ROUTES, RUN_EVENTS, RUN_LOG, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
 from skytally.sources import payloads, table_schemas, tables
 from skytally.streaming.snapshots import ingest, read_incoming
@@ -410,3 +410,36 @@ def test_series_carry_the_last_run_forward(spark):
     for bad in ((start, start - timedelta(1), 60), (start, start, 0), (start, start + timedelta(days=30), 60)):
         with pytest.raises(ValueError):
             runlog.TimeRange(*bad)
+
+
+# --- run log upkeep -------------------------------------------------------------------------------
+
+
+def test_log_is_compacted_and_label_groups_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    start = datetime(2026, 3, 1, 10)
+    for n in range(9):
+        runlog.record_run(
+            spark, path, source="S", endpoint="a+b c%/é" if n % 2 else "flights", stage="load", status="success",
+            duration_seconds=n, run_id=f"r{n}", finished_at=start + timedelta(days=n // 4))
+    files = lambda: len(list((tmp_path / "runs").rglob("*.parquet")))
+    read = lambda: sorted(map(tuple, runlog.read_runs(spark, path).collect()))
+    before, rows = files(), read()
+    assert before == 9
+    runlog.compact(spark, path, RUN_LOG, "2026-03-02")
+    assert read() == rows and files() == 2 + 5
+    runlog.compact(spark, path, RUN_LOG, "2026-03-04")
+    assert read() == rows and files() == 5
+    untouched = {p for p in (tmp_path / "runs").rglob("*.parquet")}
+    runlog.compact(spark, path, RUN_LOG, "2026-03-04")
+    assert untouched == {p for p in (tmp_path / "runs").rglob("*.parquet")}
+    assert runlog.delete_runs(spark, path, source="s", endpoint=" A+B C%/É", stage="load") == 2
+    assert read() == [r for r in rows if r[1] == "flights"] and files() == 3
+    assert runlog.delete_runs(spark, path, source="s", endpoint="none", stage="load") == 0
+    runlog.compact(spark, str(tmp_path / "nothing"), RUN_LOG, "2026-03-04")
+    events = str(tmp_path / "events")
+    for n in range(3):
+        runlog.log_event(spark, events, "info", "load", "done", n=n)
+    runlog.compact(spark, events, RUN_EVENTS, "9999-01-01")
+    assert len(list((tmp_path / "events").rglob("*.parquet"))) == 1
+    assert {json.loads(r.details)["n"] for r in tables.read_table(spark, events, RUN_EVENTS).collect()} == {0, 1, 2}
