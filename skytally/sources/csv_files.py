@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,53 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
 
 
+SPLIT_BYTES = 128 << 20
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not empty, if the split begins its file; the rest is not read."""
+    for batch in batches:
+        for row, line in enumerate(batch.column("value").to_pylist()):
+            if batch.column("start")[row].as_py():
+                return
+            if line and line.strip():
+                yield batch.slice(row, 1)
+                return
+
+
+def headers(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """Column names → paths of the CSVs below a folder: a listing, one job for all first lines and one per
+    distinct header, whatever the number of files.
+
+    Every split of a file is a partition of its own, and a task stops at its first batch of lines. Files
+    without a line have no names.
+    """
+    lone = spark.newSession()
+    for conf in ("maxPartitionBytes", "openCostInBytes"):  # an open file fills a partition
+        lone.conf.set(f"spark.sql.files.{conf}", str(SPLIT_BYTES))
+    paths = {row.url: row.path for row in list_files(spark, folder, pattern, recursive=True, with_url=True).collect()}
+    if not paths:
+        return {}
+    text = (
+        lone.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+        .option("lineSep", "\n").text(folder)
+    )
+    # Raw bytes: which encoding a line has shows only later.
+    lines = text.select(
+        F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+    ).mapInArrow(_first_line, "value binary, path string, start long")
+    found: dict[bytes, list[str]] = {}
+    for row in lines.toLocalIterator():
+        found.setdefault(bytes(row.value), []).append(paths.pop(row.path))
+    groups: dict[tuple[str, ...], list[str]] = {(): list(paths.values())} if paths else {}
+    for line, held in found.items():
+        first = spark.sparkContext.parallelize([line.decode("latin-1").rstrip("\r")], 1)
+        names = tuple(spark.read.option("header", True).csv(first).columns)
+        groups.setdefault(names, []).extend(held)
+    return {names: sorted(held) for names, held in groups.items()}
+
+
 EXTRA = "_extra_fields"  # the raw record, where it has more values than the header has names
 
 
@@ -74,15 +123,12 @@ def scan_history(
     that lack a required column are returned with the missing names instead of being scanned. With
     ``mark_extra`` a column ``EXTRA`` holds the raw text of records with more values than the header.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
     rejected: dict[str, list[str]] = {}
-    for row in list_files(spark, folder, "Flights_*.csv", recursive=True).toLocalIterator():
-        names = _header(spark, row.path)
+    groups = headers(spark, folder, "Flights_*.csv")
+    for names in list(groups):
         missing = sorted(set(required or []) - {_clean_name(n) for n in names})
-        if missing:
-            rejected[row.path] = missing
-        else:
-            groups.setdefault(names, []).append(row.path)
+        if missing or not names:
+            rejected.update(dict.fromkeys(groups.pop(names), missing))
     scans = [_scan_text(spark, paths, names, mark_extra) for names, paths in groups.items()]
     if not scans:
         return None, rejected
@@ -94,9 +140,8 @@ def scan_points(spark: SparkSession, folder: str) -> DataFrame:
 
     Files are grouped by header, so each is read by its own column order.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in list_files(spark, folder, "Flight_Points_Filed_*.csv", recursive=True).toLocalIterator():
-        groups.setdefault(_header(spark, row.path), []).append(row.path)
+    groups = headers(spark, folder, "Flight_Points_Filed_*.csv")
+    groups.pop((), None)
     scans = [
         _scan_text(spark, paths, names).select(
             [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in POINTS])

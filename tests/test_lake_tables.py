@@ -4,6 +4,7 @@ import json
 import random
 import re
 import threading
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -16,7 +17,7 @@ from skytally.operators.trigrams import TrigramIndex, literal_parts
 from skytally.plans import explorer, insights, jobs, quarantine, runlog
 from skytally.schemas import ROUTES, RUN_EVENTS, RUN_LOG, SNAPSHOT_INSIGHTS
 from skytally.session import scratch_path
-from skytally.sources import payloads, table_schemas, tables
+from skytally.sources import csv_files, payloads, table_schemas, tables
 from skytally.streaming.snapshots import ingest, read_incoming
 
 IDS = ["flight_iata", "flight_icao", "flight_number"]
@@ -443,3 +444,43 @@ def test_log_is_compacted_and_label_groups_are_deleted(spark, tmp_path):
     runlog.compact(spark, events, RUN_EVENTS, "9999-01-01")
     assert len(list((tmp_path / "events").rglob("*.parquet"))) == 1
     assert {json.loads(r.details)["n"] for r in tables.read_table(spark, events, RUN_EVENTS).collect()} == {0, 1, 2}
+
+
+# --- headers of many files ------------------------------------------------------------------------
+
+
+def test_headers_of_many_files_by_few_jobs(spark, tmp_path):
+    lines = {"a,b": 9, "b, c ": 4, "﻿x,Zé": 3}
+    for n, (line, count) in enumerate(lines.items()):
+        for k in range(count):
+            folder = tmp_path / f"y {n}" / f"m+{k}"
+            folder.mkdir(parents=True)
+            ending = "\r\n" if k % 2 else "\n"
+            (folder / "Flights_1.csv").write_bytes((("\n" * (k % 3)) + line + ending + ("1,2" + ending) * 40).encode())
+    (tmp_path / "Flights_blank.csv").write_text("\n\n")
+    got = {}
+    few = jobs_of(spark, lambda: got.update(csv_files.headers(spark, str(tmp_path), "Flights_*.csv")))
+    counts = Counter()  # a byte order mark may stay in a name until it is cleaned
+    for names, paths in got.items():
+        counts[tuple(csv_files._clean_name(n) for n in names)] += len(paths)
+    assert counts == {("a", "b"): 9, ("b", "c"): 4, ("x", "Zé"): 3, (): 1}
+    for names, paths in got.items():
+        for path in paths[:2] if names else []:
+            assert [csv_files._clean_name(n) for n in csv_files._header(spark, path)] == [csv_files._clean_name(n) for n in names]
+    rows, rejected = csv_files.scan_history(spark, str(tmp_path), ["b"])
+    assert rows.count() == 13 * 40 and len(rejected) == 4
+    # As many jobs for twice the files.
+    for k in range(9):
+        folder = tmp_path / "z" / str(k)
+        folder.mkdir(parents=True)
+        (folder / "Flights_1.csv").write_text("a,b\n1,2\n")
+    again = jobs_of(spark, lambda: got.update(csv_files.headers(spark, str(tmp_path), "Flights_*.csv")))
+    assert again <= few + 9 and len(got[("a", "b")]) == 18
+    assert csv_files.headers(spark, str(tmp_path / "none"), "Flights_*.csv") == {}
+
+
+def test_first_lines_of_split_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "SPLIT_BYTES", 1000)
+    for n in range(3):
+        (tmp_path / f"Flights_{n}.csv").write_text(f"h{n},b\n" + "1234567,7654321\n" * 500)
+    assert csv_files.headers(spark, str(tmp_path), "Flights_*.csv").keys() == {(f"h{n}", "b") for n in range(3)}
