@@ -12,6 +12,7 @@ from harness.registry import query, stamp
 from harness.views import table
 from skytally.operators.search import quoted
 from skytally.plans import explorer, jobs, quarantine, runlog, serving
+from skytally.schemas import ROUTES
 from skytally.sources.table_schemas import stored_schema
 from skytally.sources.tables import read_table
 
@@ -219,3 +220,19 @@ def run_log_files(spark, sf_dir):
     closed = rows.where(F.col("finished_at") < stored.COMPACTED_BEFORE)
     return closed.groupBy("endpoint", "stage").agg(
         F.count_distinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("runs"))
+
+
+# --- payloads that land again ----------------------------------------------------------------------
+
+CONTENT = """CAST(date_trunc('second', departure_scheduled) AS VARCHAR), flight_status, flight_iata, airline_iata, departure_iata,
+  departure_icao, departure_timezone, event_id % 6 = 2 AND departure_delay IS NOT NULL, departure_delay, arrival_iata, arrival_timezone,
+  arrival_delay, live_is_ground"""
+
+
+@query("stream_replayed_payloads", views=("v_obs",), oracle=f"""
+SELECT run_id, COUNT(*) AS routes FROM (SELECT DISTINCT run_id, {CONTENT} FROM v_obs) GROUP BY 1""")
+def stream_replayed_payloads(spark, sf_dir):
+    """Every payload lands under two names, and is loaded once."""
+    lake = stored.replayed_lake(spark, sf_dir)
+    routes = read_table(spark, lake.path("flight_aircraft_routes"), ROUTES)
+    return routes.groupBy("run_id").agg(F.count(F.lit(1)).alias("routes"))

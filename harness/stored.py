@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import inputs
-from harness.views import table
+from harness.views import VIEWS, table
 from skytally.operators.trigrams import TrigramIndex
 from skytally.plans import jobs, runlog
 from skytally.schemas import RUN_LOG
 from skytally.session import scratch_path
 from skytally.sources.tables import put
+from skytally.streaming.snapshots import ingest
 
 _built: dict[tuple[str, str, str], object] = {}
 
@@ -125,3 +126,17 @@ def kept_log(spark: SparkSession, sf_dir: str) -> str:
         return path
 
     return once("runs", spark, sf_dir, build)
+
+
+def replayed_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    """v_obs as a stream of payloads that all land twice, the second time under another name."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream.createOrReplaceTempView("streamed_events")
+    observed = spark.sql(VIEWS["v_obs"].replace("FROM events", "FROM streamed_events"))
+    landed = observed.withColumn("text", F.expr(inputs.DOCUMENT)).select(
+        "run_id", F.concat(F.lit('{"data":['), "text", F.lit("]}")).alias("payload"),
+        F.explode(F.array(*[F.concat("run_id", F.lit(f"-{copy}.json")) for copy in range(2)])).alias("file_name"))
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    ingest(lake, landed, "aviationstack", "flights", scratch_path(spark, "stream"), "2 days").awaitTermination()
+    return lake

@@ -6,7 +6,8 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from skytally.plans import jobs
+from skytally.plans import jobs, quarantine, runlog
+from skytally.schemas import RUN_EVENTS, RUN_LOG
 from skytally.session import build_session
 from skytally.sources.payloads import find_snapshot_files
 from skytally.streaming.snapshots import ingest, read_incoming
@@ -24,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--incoming", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--archive")
+    stream.add_argument("--remember", help="time, as '2 days', for which equal payloads are loaded once")
     for name in ("snapshot", "routes"):
         insight = commands.add_parser(name, help=f"{name} of one run")
         insight.add_argument("--incoming", required=True)
@@ -43,6 +45,13 @@ def parser() -> argparse.ArgumentParser:
     scoring.add_argument("--model", required=True)
     scoring.add_argument("--airports", required=True)
     scoring.add_argument("--limit", type=int)
+    searching = commands.add_parser("search", help="find predictions by part of an identifier")
+    searching.add_argument("--text", required=True)
+    searching.add_argument("--limit", type=int, default=10)
+    commands.add_parser("latest-routes", help="panels over the run loaded last")
+    commands.add_parser("quarantine", help="what loads have set aside, by reason")
+    tidy = commands.add_parser("compact", help="fewer files in the run log and the search index")
+    tidy.add_argument("--before", required=True, help="first day that is not closed, yyyy-MM-dd")
     return top
 
 
@@ -55,7 +64,9 @@ def main(argv: list[str] | None = None) -> None:
         landed = read_incoming(
             spark, args.incoming, args.source, args.endpoint, archive=args.archive
         )
-        ingest(lake, landed, args.source, args.endpoint, args.checkpoint).awaitTermination()
+        ingest(
+            lake, landed, args.source, args.endpoint, args.checkpoint, args.remember
+        ).awaitTermination()
     elif args.command in ("snapshot", "routes"):
         files = find_snapshot_files(
             spark, args.incoming, args.processed, args.source, args.endpoint, args.run_id
@@ -68,6 +79,18 @@ def main(argv: list[str] | None = None) -> None:
         print(jobs.history_job(spark, lake, args.folder))
     elif args.command == "train":
         jobs.training_job(spark, lake, args.model, args.preset).show(truncate=False)
+    elif args.command == "search":
+        jobs.search_job(spark, lake, args.text, args.limit).show(args.limit, truncate=False)
+    elif args.command == "latest-routes":
+        for name, panel in jobs.route_dashboard(spark, lake).items():
+            print(name)
+            panel.show(100, truncate=False)
+    elif args.command == "quarantine":
+        quarantine.reasons(quarantine.quarantined(spark, lake.path("quarantine"))).show(truncate=False)
+    elif args.command == "compact":
+        runlog.compact(spark, lake.path("pipeline_runs"), RUN_LOG, args.before)
+        runlog.compact(spark, lake.path("run_events"), RUN_EVENTS, args.before)
+        jobs.prediction_index(lake).compact(spark)
     else:
         print(jobs.prediction_job(spark, lake, args.model, args.airports, args.limit))
 

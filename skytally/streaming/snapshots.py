@@ -30,11 +30,27 @@ def read_incoming(
     )
 
 
+def once_per_content(stream: DataFrame, remember: str = "2 days") -> DataFrame:
+    """The stream without payloads whose text was seen before, under whatever file name.
+
+    The digests seen are state of the stream's checkpoint, kept for ``remember`` after they were last put in
+    by time of arrival; the time a file was written does not count, so old files are loaded as well. Of equal
+    payloads that arrive together any one is kept.
+    """
+    keyed = stream.withColumns({
+        "_content": F.sha2(F.coalesce("payload", F.lit("")), 256), "_seen_at": F.current_timestamp()})
+    return keyed.withWatermark("_seen_at", remember).dropDuplicatesWithinWatermark(["_content"]).drop(
+        "_content", "_seen_at")
+
+
 def ingest(
-    lake: jobs.Lake, stream: DataFrame, source: str, endpoint: str, checkpoint: str
+    lake: jobs.Lake, stream: DataFrame, source: str, endpoint: str, checkpoint: str,
+    remember: str | None = None,
 ) -> StreamingQuery:
     """Load everything a stream of (file_name, run_id, payload) holds by now, then stop.
 
+    With ``remember`` a payload that lands again within that time, under another name, is not loaded again.
+
     Every output is keyed and the routes carry the batch number, so a batch that is replayed after a
     failure leaves the tables as they were. A file that is no JSON is set aside and does not stop the stream.
     """
@@ -50,6 +66,8 @@ def ingest(
         finally:
             held.unpersist()
 
+    if remember:
+        stream = once_per_content(stream, remember)
     return (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)

@@ -1,6 +1,7 @@
 """Postings, run index, quarantine and stored schemas of the lake."""
 
 import json
+import os
 import random
 import re
 import threading
@@ -484,3 +485,30 @@ def test_first_lines_of_split_files(spark, tmp_path, monkeypatch):
     for n in range(3):
         (tmp_path / f"Flights_{n}.csv").write_text(f"h{n},b\n" + "1234567,7654321\n" * 500)
     assert csv_files.headers(spark, str(tmp_path), "Flights_*.csv").keys() == {(f"h{n}", "b") for n in range(3)}
+
+
+def test_payloads_that_land_again_are_loaded_once(spark, tmp_path):
+    lake, landed = jobs.Lake(str(tmp_path / "lake")), tmp_path / "in"
+    landed.mkdir()
+
+    def land(run, payload):
+        path = landed / f"aviationstack_flights_incoming_{run}.json"
+        path.write_text(payload)
+        os.utime(path, (1_000_000_000, 1_000_000_000))  # an old file is no late one
+
+    def load():
+        stream = read_incoming(spark, str(landed), "aviationstack", "flights")
+        ingest(lake, stream, "aviationstack", "flights", str(tmp_path / "cp"), "1 day").awaitTermination()
+
+    one, two = json.dumps({"data": [flight("A1")]}), json.dumps({"data": [flight("A1"), flight("A2")]})
+    land("r1", one)
+    land("r1-again", one)
+    load()
+    land("r2", one)
+    land("r3", two)
+    land("r4", "{bad")
+    land("r5", "{bad")
+    load()
+    routes = tables.read_table(spark, lake.path("flight_aircraft_routes"), ROUTES)
+    counts = sorted(r["count"] for r in routes.groupBy("run_id").count().collect())
+    assert counts == [1, 2] and len(aside(spark, lake)) == 1
