@@ -278,9 +278,13 @@ def prediction_job(
     recent = tables.as_documents(tables.scan_recent(documents, limit)).select("doc")
     featured = features.live_features(recent, coordinates)
     scored = model.score(model.load_model(model_path), featured)
-    # One time for the whole batch, and tie-breakers by content: the batch itself has no order.
+    # One time for the whole batch.
     created = F.lit(datetime.now(timezone.utc))
-    served = serving.serving_records(scored, model_name, model_version, created)
+    return store_predictions(spark, lake, serving.serving_records(scored, model_name, model_version, created))
+
+
+def store_predictions(spark: SparkSession, lake: Lake, served: DataFrame) -> int:
+    """Upsert scored rows and their postings; returns their number. Rows of one key go by their content."""
     batch = cut_lineage(served.withColumn("_content", F.xxhash64(F.to_json(F.struct("*")))))
     target = lake.path("flight_predictions")
     stored = tables.read_table(spark, target, schemas.PREDICTIONS)
