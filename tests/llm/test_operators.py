@@ -1,8 +1,10 @@
 """Operators on odd rows, against plain Python versions."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -421,7 +423,7 @@ def plain_n_best(model, text, n):
             if piece:
                 found += [piece[1] + s for s in all_of(rest[k:])]
         if rest[0] not in model.pieces:
-            found += [nbest.BYTE_SCORE * len(rest[0].encode()) + s for s in all_of(rest[1:])]
+            found += [model.byte_score * len(rest[0].encode()) + s for s in all_of(rest[1:])]
         return sorted(found, reverse=True)[:n]
     return all_of(marked)
 
@@ -434,10 +436,48 @@ def test_n_best_is_exact(model, text):
     assert all(model.decode(ids) == text.replace(nbest.MARK, " ") for _, ids in found)
 
 
+def test_n_best_of_random_texts(model):
+    ties = 0
+    for seed in range(500):
+        rng = random.Random(seed)
+        text = "".join(rng.choice(rng.choice(["ab", "a -", "the n", "1梦.", "\x01é=", " ▁"])) for _ in range(rng.randint(0, 9)))
+        found, plain = model.n_best(text), plain_n_best(model, text, 4)
+        if not text:
+            assert found == [(0, ())]
+            continue
+        assert [s for s, _ in found] == pytest.approx(plain)
+        assert len({ids for _, ids in found}) == len(found)
+        assert all(model.decode(ids) == text.replace(nbest.MARK, " ") for _, ids in found)
+        ties += len({round(s, 9) for s in plain}) < len(plain)
+    assert ties > 20
+
+
+@pytest.mark.parametrize("text", ["-" * 10_000, "a" * 100_000, " " * 20_000, "ab" * 20_000, "a-" * 10_000, "梦" * 10_000, "x\x01" * 9_000])
+def test_long_texts_end_soon(text):
+    fresh = nbest.Lattice(nbest.default_model(), 4)
+    started = time.monotonic()
+    found = fresh.n_best(text)
+    assert time.monotonic() - started < 10
+    assert all(fresh.decode(ids) == text for _, ids in found)
+
+
+def test_pieces_of_the_model(model):
+    assert "▁" in model.pieces and "▁▁" in model.pieces
+    chances = [chance for _, chance in model.pieces.values()]
+    assert sum(map(math.exp, chances)) == pytest.approx(1) and model.byte_score < min(chances)
+    # Mostly what the library's merges give, word by word.
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=nbest.default_model())
+    words = "the river stone was on a table in this garden and people found more houses there".split()
+    assert sum(list(model.n_best(w)[0][1]) == library.encode(w) for w in words) > 0.8 * len(words)
+
+
 def test_segmentation_query(odd_docs, odd_rows, no_docs, model):
     rows = nbest.segment_documents(odd_docs, nbest.default_model(), 2).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(d for d, _ in odd_rows)
-    assert all(r["decoded"] for r in rows)
+    texts = Counter((d, hashlib.sha256((t or "").replace(nbest.MARK, " ").encode()).hexdigest()) for d, t in odd_rows)
+    assert all(r["decoded"] for r in rows) and Counter((r["doc_id"], r["decoded_sha256"]) for r in rows) == texts
     assert all([r["best_score"], *r["next_scores"]] == sorted([r["best_score"], *r["next_scores"]], reverse=True) for r in rows)
     assert nbest.segment_documents(no_docs, nbest.default_model()).count() == 0
 
