@@ -32,6 +32,18 @@ FOLLOWED_ROUTES = [
     ("LYS", "BOD"), ("LYS", "NTE"), ("LYS", "TLS"), ("MRS", "BOD"), ("NCE", "NTE"),
 ]
 
+# Where a document may hold each code, in order of precedence.
+DEPARTURE_IATA_PATHS = ["departure.iata", "departure.iata_code", "departure_iata", "departure_iata_code"]
+ARRIVAL_IATA_PATHS = ["arrival.iata", "arrival.iata_code", "arrival_iata", "arrival_iata_code"]
+DEPARTURE_ICAO_PATHS = ["departure.icao", "departure.icao_code", "departure_icao", "departure_icao_code"]
+ARRIVAL_ICAO_PATHS = ["arrival.icao", "arrival.icao_code", "arrival_icao", "arrival_icao_code"]
+AIRLINE_IATA_PATHS = ["airline.iata_code", "airline.iata", "airline_iata"]
+OPERATOR_PATHS = [
+    "airline.icao_code", "airline.icao", "airline_icao_code", "airline_icao",
+    "airline.iata_code", "airline.iata", "airline_iata_code", "airline_iata",
+    "airline.airline_name", "airline.name",
+]
+
 FLIGHT_KEY = ["flight_date", "flight_number", "departure_iata", "arrival_iata", "airline_iata"]
 AIRLINE_KEY = ["airline_iata", "airline_icao", "airline_name"]
 AIRPORT_KEY = ["airport_iata", "airport_icao", "airport_name"]
@@ -236,41 +248,28 @@ def is_in_air(doc: Column) -> Column:
 
 
 def departure_iata(doc: Column) -> Column:
-    return clean_text(first_text_at(
-        doc, "departure.iata", "departure.iata_code", "departure_iata", "departure_iata_code"
-    ), upper=True)
+    return clean_text(first_text_at(doc, *DEPARTURE_IATA_PATHS), upper=True)
 
 
 def arrival_iata(doc: Column) -> Column:
-    return clean_text(first_text_at(
-        doc, "arrival.iata", "arrival.iata_code", "arrival_iata", "arrival_iata_code"
-    ), upper=True)
+    return clean_text(first_text_at(doc, *ARRIVAL_IATA_PATHS), upper=True)
 
 
 def departure_icao(doc: Column) -> Column:
-    return clean_text(first_text_at(
-        doc, "departure.icao", "departure.icao_code", "departure_icao", "departure_icao_code"
-    ), upper=True)
+    return clean_text(first_text_at(doc, *DEPARTURE_ICAO_PATHS), upper=True)
 
 
 def arrival_icao(doc: Column) -> Column:
-    return clean_text(first_text_at(
-        doc, "arrival.icao", "arrival.icao_code", "arrival_icao", "arrival_icao_code"
-    ), upper=True)
+    return clean_text(first_text_at(doc, *ARRIVAL_ICAO_PATHS), upper=True)
 
 
 def airline_iata(doc: Column) -> Column:
-    return clean_text(first_text_at(doc, "airline.iata_code", "airline.iata", "airline_iata"))
+    return clean_text(first_text_at(doc, *AIRLINE_IATA_PATHS))
 
 
 def operator_code(doc: Column) -> Column:
     """Airline ICAO, else IATA, else name."""
-    return clean_text(first_text_at(
-        doc,
-        "airline.icao_code", "airline.icao", "airline_icao_code", "airline_icao",
-        "airline.iata_code", "airline.iata", "airline_iata_code", "airline_iata",
-        "airline.airline_name", "airline.name",
-    ), upper=True)
+    return clean_text(first_text_at(doc, *OPERATOR_PATHS), upper=True)
 
 
 def is_french_domestic(dep_iata: Column, arr_iata: Column, dep_icao: Column, arr_icao: Column) -> Column:

@@ -141,12 +141,24 @@ def delayed_flag(minutes: Column) -> Column:
     return F.coalesce(delayed_or_null(minutes).cast("int"), F.lit(0))
 
 
+# Texts of the status messages and labels.
+DELAYED, ON_TIME = "Delayed", "On time"
+HIGH_TEXT, MEDIUM_TEXT, LOW_TEXT = "High risk of delay", "Medium risk of delay", "Low risk of delay"
+REPORTED_TEXT, REPORTED_END = "The flight is currently reported as '", "'. "
+PREDICTED_TEXT, CHANCE_START, CHANCE_END = "The ML model predicts: ", " with ", "% delay probability."
+LOOKS_DELAYED_TEXT = "The flight appears to be delayed according to its reported status."
+DEPARTURE_TEXT = "The flight has delay information reported. Departure delay: "
+ARRIVAL_TEXT, MINUTES_END = " min. Arrival delay: ", " min."
+STATUS_TEXT, STATUS_END = "The flight status is currently reported as '", "'."
+UNCLEAR_TEXT = "The flight status could not be fully interpreted from the available fields."
+
+
 def risk_label(delayed: Column, probability: Column) -> Column:
     return (
-        F.when(probability.isNull(), F.when(delayed, "Delayed").otherwise("On time"))
-        .when(probability >= HIGH_RISK, "High risk of delay")
-        .when(probability >= MEDIUM_RISK, "Medium risk of delay")
-        .otherwise("Low risk of delay")
+        F.when(probability.isNull(), F.when(delayed, DELAYED).otherwise(ON_TIME))
+        .when(probability >= HIGH_RISK, HIGH_TEXT)
+        .when(probability >= MEDIUM_RISK, MEDIUM_TEXT)
+        .otherwise(LOW_TEXT)
     )
 
 
@@ -167,33 +179,33 @@ def status_message(
     dep = F.when(both_numeric, dep_number.try_cast("int")).otherwise(0)
     arr = F.when(both_numeric, arr_number.try_cast("int")).otherwise(0)
     lowered = F.lower(shown)
-    reported = F.concat(F.lit("The flight is currently reported as '"), shown, F.lit("'. "))
-    model = F.concat(reported, F.lit("The ML model predicts: "), predicted)
+    reported = F.concat(F.lit(REPORTED_TEXT), shown, F.lit(REPORTED_END))
+    model = F.concat(reported, F.lit(PREDICTED_TEXT), predicted)
     return (
         F.when(
             ~predicted.isin("", NOT_AVAILABLE) & chance.isNotNull(),
-            F.concat(model, F.lit(" with "), F.format_string("%.1f", chance * 100),
-                     F.lit("% delay probability.")),
+            F.concat(model, F.lit(CHANCE_START), F.format_string("%.1f", chance * 100),
+                     F.lit(CHANCE_END)),
         )
         .when(~predicted.isin("", NOT_AVAILABLE), F.concat(model, F.lit(".")))
         .when(
             lowered.contains("delay") | lowered.contains("late"),
-            F.lit("The flight appears to be delayed according to its reported status."),
+            F.lit(LOOKS_DELAYED_TEXT),
         )
         .when(
             (dep > 0) | (arr > 0),
             F.concat(
-                F.lit("The flight has delay information reported. Departure delay: "),
-                dep.cast("string"), F.lit(" min. Arrival delay: "), arr.cast("string"),
-                F.lit(" min."),
+                F.lit(DEPARTURE_TEXT),
+                dep.cast("string"), F.lit(ARRIVAL_TEXT), arr.cast("string"),
+                F.lit(MINUTES_END),
             ),
         )
         .when(
             lowered.isin("active", "scheduled", "landed"),
-            F.concat(F.lit("The flight status is currently reported as '"), shown, F.lit("'.")),
+            F.concat(F.lit(STATUS_TEXT), shown, F.lit(STATUS_END)),
         )
         .otherwise(
-            F.lit("The flight status could not be fully interpreted from the available fields.")
+            F.lit(UNCLEAR_TEXT)
         )
     )
 
