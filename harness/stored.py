@@ -19,9 +19,22 @@ from skytally.streaming.snapshots import ingest
 _built: dict[tuple[str, str, str], object] = {}
 
 
+def _still_there(spark: SparkSession, built: object) -> bool:
+    """Whether the folder a build names first has not been cleared away since."""
+    while isinstance(built, (tuple, dict)):
+        built = next(iter(built.values() if isinstance(built, dict) else built))
+    if isinstance(built, DataFrame):
+        found = built.inputFiles()
+        folder = found[0] if found else ""
+    else:
+        folder = built.root if isinstance(built, jobs.Lake) else str(built)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder) if folder else None
+    return path is None or path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def once(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], object]) -> object:
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _built:
+    if key not in _built or not _still_there(spark, _built[key]):
         _built[key] = build()
     return _built[key]
 
