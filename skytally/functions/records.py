@@ -7,7 +7,7 @@ functions read a record by path, so no record is parsed twice.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import or_
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.functions.scalars import clean_text, first_text, to_number
+from skytally.functions.scalars import clean_text, once, to_number
 
 # French domestic airports.
 FRENCH_IATA = [
@@ -65,12 +65,12 @@ def text_at(doc: Column, path: str) -> Column:
 
 def number_at(doc: Column, path: str) -> Column:
     """Double at a path; numeric text counts."""
-    return to_number(text_at(doc, path))
+    return once(text_at(doc, path), to_number)
 
 
 def number_of(value: Column) -> Column:
     """Double held by a VARIANT; numeric text counts."""
-    return to_number(F.try_variant_get(value, F.lit("$"), "string"))
+    return once(F.try_variant_get(value, F.lit("$"), "string"), to_number)
 
 
 def whole_of(value: Column) -> Column:
@@ -78,19 +78,19 @@ def whole_of(value: Column) -> Column:
     return number_of(value).try_cast("int")
 
 
-def _truthy_text_at(doc: Column, path: str) -> Column:
-    """Text at a path, SQL NULL for false, 0, {} and []; the texts "0" and "false" stay."""
-    text = text_at(doc, path)
-    # Only a text that looks empty needs a look at its JSON type.
-    unsure = text.rlike(r"^(false|\{\}|\[\]|-?0(\.0*)?([eE][+-]?\d+)?)$")
+def _filled_text_at(doc: Column, path: str) -> Column:
+    """Text at a path, SQL NULL for '', false, 0, {} and []; the texts "0" and "false" stay."""
     is_text = F.schema_of_variant(at(doc, path)) == "STRING"
-    return F.when(~unsure | is_text, text)
+    # Only a text that looks empty needs a look at its JSON type.
+    unsure = r"^(false|\{\}|\[\]|-?0(\.0*)?([eE][+-]?\d+)?)$"
+    return once(text_at(doc, path), lambda text: F.when(text == "", None).when(
+        text.rlike(unsure), F.when(is_text, text)).otherwise(text))
 
 
 def first_text_at(doc: Column, *paths: str) -> Column:
     """First non-falsy value as text, the last one as it is."""
     *heads, last = paths
-    return first_text(*[_truthy_text_at(doc, p) for p in heads], text_at(doc, last))
+    return F.coalesce(*[_filled_text_at(doc, p) for p in heads], text_at(doc, last))
 
 
 def is_falsy(value: Column) -> Column:
@@ -101,18 +101,20 @@ def is_falsy(value: Column) -> Column:
 
 def first_truthy_at(doc: Column, *paths: str) -> Column:
     """First non-falsy sub-document, the last one as it is."""
-    *heads, last = [at(doc, p) for p in paths]
-    return F.coalesce(*[F.when(~is_falsy(v), v) for v in heads], last)
+    *heads, last = paths
+    return F.coalesce(*[once(at(doc, p), lambda v: F.when(~is_falsy(v), v)) for p in heads], at(doc, last))
 
 
 def is_positive_number(value: Column) -> Column:
     """JSON number (or true) above zero. The text "7" is not a number."""
-    kind = F.schema_of_variant(value)
-    numeric = (kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")) & (
-        F.try_variant_get(value, "$", "double") > 0
-    )
-    true_flag = (kind == "BOOLEAN") & F.try_variant_get(value, "$", "boolean")
-    return F.coalesce(numeric | true_flag, F.lit(False))
+    def above_zero(held: Column, kind: Column) -> Column:
+        numeric = (kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")) & (
+            F.try_variant_get(held, "$", "double") > 0
+        )
+        true_flag = (kind == "BOOLEAN") & F.try_variant_get(held, "$", "boolean")
+        return F.coalesce(numeric | true_flag, F.lit(False))
+
+    return once(value, lambda held: once(F.schema_of_variant(held), lambda kind: above_zero(held, kind)))
 
 
 def as_list(doc: Column, path: str = "$") -> Column:
@@ -120,7 +122,8 @@ def as_list(doc: Column, path: str = "$") -> Column:
 
 
 def is_object(doc: Column) -> Column:
-    return F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
+    # A struct of no fields: no value of the object is copied.
+    return F.try_variant_get(doc, "$", "struct<>").isNotNull()
 
 
 # --- unwrapping ------------------------------------------------------------------------------
@@ -247,29 +250,34 @@ def is_in_air(doc: Column) -> Column:
     )
 
 
+def clean_text_at(doc: Column, paths: Sequence[str], upper: bool = False) -> Column:
+    """First non-falsy value as trimmed text, null where it is blank."""
+    return once(first_text_at(doc, *paths), lambda text: clean_text(text, upper))
+
+
 def departure_iata(doc: Column) -> Column:
-    return clean_text(first_text_at(doc, *DEPARTURE_IATA_PATHS), upper=True)
+    return clean_text_at(doc, DEPARTURE_IATA_PATHS, upper=True)
 
 
 def arrival_iata(doc: Column) -> Column:
-    return clean_text(first_text_at(doc, *ARRIVAL_IATA_PATHS), upper=True)
+    return clean_text_at(doc, ARRIVAL_IATA_PATHS, upper=True)
 
 
 def departure_icao(doc: Column) -> Column:
-    return clean_text(first_text_at(doc, *DEPARTURE_ICAO_PATHS), upper=True)
+    return clean_text_at(doc, DEPARTURE_ICAO_PATHS, upper=True)
 
 
 def arrival_icao(doc: Column) -> Column:
-    return clean_text(first_text_at(doc, *ARRIVAL_ICAO_PATHS), upper=True)
+    return clean_text_at(doc, ARRIVAL_ICAO_PATHS, upper=True)
 
 
 def airline_iata(doc: Column) -> Column:
-    return clean_text(first_text_at(doc, *AIRLINE_IATA_PATHS))
+    return clean_text_at(doc, AIRLINE_IATA_PATHS)
 
 
 def operator_code(doc: Column) -> Column:
     """Airline ICAO, else IATA, else name."""
-    return clean_text(first_text_at(doc, *OPERATOR_PATHS), upper=True)
+    return clean_text_at(doc, OPERATOR_PATHS, upper=True)
 
 
 def is_french_domestic(dep_iata: Column, arr_iata: Column, dep_icao: Column, arr_icao: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -24,6 +24,14 @@ HOUR_BUCKETS = [f"{start:02d}h-{start + 2:02d}h" for start in range(0, 24, 3)]
 # --- emptiness -------------------------------------------------------------------------------
 
 
+def once(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """``rule`` of a value that is computed once, however often the rule names it.
+
+    A costly expression named twice in a condition is evaluated twice, and rules over rules multiply that.
+    """
+    return F.element_at(F.transform(F.array(value), rule), 1)
+
+
 def first_text(*columns: Column) -> Column:
     """First non-empty text; the last operand is returned as it is, even when empty."""
     *heads, last = columns
@@ -87,13 +95,15 @@ def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def parse_timestamp(column: Column) -> Column:
     """ISO text is year-month-day; ``dd-MM-yyyy`` and ``dd/MM/yyyy`` are day-first."""
-    text = F.trim(column.cast("string"))
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}"), text.try_cast("timestamp"))
-    day_first = F.when(
-        text.rlike(r"^\d{1,2}[-/]"),
-        F.try_to_timestamp(F.translate(text, "/", "-"), F.lit("d-M-yyyy[ H:mm[:ss]]")),
-    )
-    return F.coalesce(iso, day_first)
+    def parsed(text: Column) -> Column:
+        iso = F.when(text.rlike(r"^\d{4}-\d{2}"), text.try_cast("timestamp"))
+        day_first = F.when(
+            text.rlike(r"^\d{1,2}[-/]"),
+            F.try_to_timestamp(F.translate(text, "/", "-"), F.lit("d-M-yyyy[ H:mm[:ss]]")),
+        )
+        return F.coalesce(iso, day_first)
+
+    return once(F.trim(column.cast("string")), parsed)
 
 
 def parse_day(column: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,20 @@ def broadcast_if_small(dimension: DataFrame, max_rows: int = MAX_BROADCAST_ROWS)
     return F.broadcast(dimension) if small else dimension
 
 
-def spread_input(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer splits than task slots, e.g. one unsplittable file.
+ROWS_PER_TASK = 50_000
+
+
+def spread_input(df: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+    """Spread an input over at least all task slots, and over a task per ``rows_per_task`` rows if given.
 
-    Row-wise work on documents is the costly part, so a small round-robin shuffle pays there. An
-    input with enough splits, as any large one has, is returned as it is.
+    Row-wise work on documents is the costly part, and a split of a Parquet file may hold millions of
+    rows, so a round-robin shuffle pays there. An input with enough splits is returned as it is. The rows
+    are counted, which for a table reads its footers only.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if rows_per_task:
+        wanted = max(wanted, math.ceil(df.count() / rows_per_task))
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
 def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

@@ -112,8 +112,8 @@ def live_info(doc: Column) -> dict[str, Column]:
 
 def operational_info(doc: Column) -> dict[str, Column]:
     return {
-        "flight_iata": S.clean_text(R.first_text_at(doc, "flight.iata", "flight_iata"), upper=True),
-        "flight_icao": S.clean_text(R.first_text_at(doc, "flight.icao", "flight_icao"), upper=True),
+        "flight_iata": R.clean_text_at(doc, ["flight.iata", "flight_iata"], upper=True),
+        "flight_icao": R.clean_text_at(doc, ["flight.icao", "flight_icao"], upper=True),
         "departure_iata": R.departure_iata(doc),
         "departure_icao": R.departure_icao(doc),
         "arrival_iata": R.arrival_iata(doc),
@@ -134,7 +134,7 @@ def departure_time(doc: Column) -> Column:
 def serving_records(scored: DataFrame, model_name: str, model_version: str, created_at: Column) -> DataFrame:
     """Prediction rows from scored documents (``doc``, feature columns, prediction columns)."""
     doc = F.col("doc")
-    clean = lambda *paths: S.clean_text(R.first_text_at(doc, *paths))
+    clean = lambda *paths: R.clean_text_at(doc, paths)
     stamps = {
         f"{stop}_{kind}": S.parse_timestamp(R.first_text_at(doc, f"{stop}.{kind}", f"{stop}_{kind}"))
         for stop in ("departure", "arrival")
@@ -150,7 +150,7 @@ def serving_records(scored: DataFrame, model_name: str, model_version: str, crea
         clean("flight.icao", "flight_icao").alias("flight_icao"),
         clean("flight.number", "flight_number").alias("flight_number"),
         S.parse_day(R.text_at(doc, "flight_date")).alias("flight_date"),
-        S.clean_text(R.text_at(doc, "flight_status")).alias("flight_status"),
+        clean("flight_status").alias("flight_status"),
         clean("airline.airline_name", "airline.name").alias("airline_name"),
         R.airline_iata(doc).alias("airline_iata"),
         R.departure_iata(doc).alias("departure_iata"),
