@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from harness import inputs, stored
 from harness.views import table
+from skytally.operators.joins import spread_input
 from skytally.session import scratch_path
 
 
+RECORDS_PER_FILE, POINTS_PER_TASK = 20_000, 1_000_000
+
+
 def place_files(spark: SparkSession, written: str, folder: str, name: str) -> None:
-    """Rename the one file of each ``key=…`` folder to ``name`` with the key, below ``folder``."""
+    """Rename the files of each ``key=…`` folder to ``name`` with the key and their number, below ``folder``."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     root = path_of(written)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -26,13 +30,21 @@ def place_files(spark: SparkSession, written: str, folder: str, name: str) -> No
 
 
 def payload_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """One payload per run: raw files of all; as incoming files days 1 to 10, archived 11 to 20, renamed 21 to 25."""
+    """The payloads of each run: raw files of all; as incoming files days 1 to 10, archived 11 to 20, renamed 21 to 25.
+
+    A run of more than about RECORDS_PER_FILE records has several files of one name, in numbered folders. All
+    places are written by one job, so the records are put together once.
+    """
 
     def build():
         root = scratch_path(spark, "landed")
+        rows = inputs.document_text(spark, sf_dir).select(F.col("run_id").alias("key"), "event_id", "text")
+        pages = rows.groupBy(F.col("key").alias("_key")).agg(F.ceil(F.count(F.lit(1)) / RECORDS_PER_FILE).alias("pages"))
+        dealt = rows.join(pages, F.col("key").eqNullSafe(F.col("_key"))).withColumn(
+            "page", F.pmod(F.xxhash64("event_id"), "pages"))
         held = F.array_sort(F.collect_list(F.struct("event_id", "text")))
-        runs = inputs.document_text(spark, sf_dir).groupBy(F.col("run_id").alias("key")).agg(held.alias("held")).select(
-            "key", F.concat(F.lit('{"data":['), F.array_join(F.transform("held", lambda h: h["text"]), ","), F.lit("]}")).alias("value"))
+        runs = dealt.groupBy("key", "page").agg(held.alias("held")).select(
+            "key", "page", F.concat(F.lit('{"data":['), F.array_join(F.transform("held", lambda h: h["text"]), ","), F.lit("]}")).alias("value"))
         day = F.substring("key", -2, 2).cast("int")
         parts: dict[str, tuple[Column, str, str]] = {
             "raw": (F.lit(True), "raw", "aviationstack_flights_raw_{key}.json"),
@@ -40,31 +52,47 @@ def payload_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             "archived": (day.between(11, 20), "processed/old", "aviationstack_flights_incoming_{key}.json"),
             "renamed": (day.between(21, 25), "processed", "r7__aviationstack_flights_incoming_{key}.json"),
         }
-        for part, (which, folder, name) in parts.items():
-            written = f"{root}/tmp-{part}"
-            runs.where(which).repartition("key").write.partitionBy("key").text(written)
-            place_files(spark, written, f"{root}/{folder}", name)
-        return {f: f"{root}/{f}" for f in ("raw", "incoming", "processed")}
+        places = F.array_compact(F.array(*[F.when(which, F.lit(part)) for part, (which, _, _) in parts.items()]))
+        written = f"{root}/tmp"
+        runs.select("key", "value", F.explode(places).alias("place"), "page").write.partitionBy("place", "page", "key").text(written)
+        path_of = spark._jvm.org.apache.hadoop.fs.Path
+        files = path_of(written).getFileSystem(spark._jsc.hadoopConfiguration())
+        for part, (_, folder, name) in parts.items():
+            files.mkdirs(path_of(f"{root}/{folder}"))
+            for one in files.globStatus(path_of(f"{written}/place={part}/page=*")):
+                page = one.getPath().getName().partition("=")[2]
+                place_files(spark, one.getPath().toString(), f"{root}/{folder}/{page}", name)
+        return {"root": root, "raw": f"{root}/raw/*", "incoming": f"{root}/incoming/*", "processed": f"{root}/processed"}
 
     return stored.once("payload files", spark, sf_dir, build)
 
 
-def history_files(spark: SparkSession, sf_dir: str) -> str:
-    """v_hist as flight CSVs per origin airport, and v_points as point CSVs, below one folder."""
+def flight_files(spark: SparkSession, sf_dir: str) -> str:
+    """v_hist as flight CSVs, a folder per origin airport. Each task writes the airports it meets."""
 
     def build():
         root = scratch_path(spark, "history")
         flights = inputs.history_text(spark, sf_dir).withColumn("key", F.col("ADEP"))
-        flights.repartition("key").write.partitionBy("key").option("header", True).csv(f"{root}-f")
+        flights.write.partitionBy("key").option("header", True).csv(f"{root}-f")
         place_files(spark, f"{root}-f", root, "{key}/Flights_{key}_{n}.csv")
+        return root
+
+    return stored.once("flight files", spark, sf_dir, build)
+
+
+def point_files(spark: SparkSession, sf_dir: str) -> str:
+    """v_points as point CSVs by sequence number, of at most POINTS_PER_TASK rows. Each task writes the numbers it meets."""
+
+    def build():
+        root = scratch_path(spark, "points")
         points = table(spark, sf_dir, "v_points").select(
             F.col("longitude").alias("Longitude"), F.col("latitude").alias("Latitude"), F.col("flight_id").alias("ECTRL ID"),
             F.col("sequence_number").alias("Sequence Number"), F.col("sequence_number").alias("key"))
-        points.repartition("key").write.partitionBy("key").option("header", True).csv(f"{root}-p")
+        spread_input(points, POINTS_PER_TASK).write.partitionBy("key").option("header", True).csv(f"{root}-p")
         place_files(spark, f"{root}-p", root, "Flight_Points_Filed_{key}_{n}.csv")
         return root
 
-    return stored.once("history files", spark, sf_dir, build)
+    return stored.once("point files", spark, sf_dir, build)
 
 
 def reference_payloads(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

@@ -67,7 +67,7 @@ SELECT origin AS "ADEP", COUNT(*) AS flights, COUNT(DISTINCT operator) AS operat
        CAST(SUM(CASE WHEN delay_minutes IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unknown, round(SUM(CAST(requested_fl AS DOUBLE)), 6) AS levels
 FROM v_hist GROUP BY origin""")
 def history_files(spark, sf_dir):
-    rows, _ = csv_files.scan_history(spark, landed.history_files(spark, sf_dir), ["ADES"])
+    rows, _ = csv_files.scan_history(spark, landed.flight_files(spark, sf_dir), ["ADES"])
     origin = F.regexp_extract("source_file", r"Flights_([^_]*)_", 1)
     return rows.groupBy(origin.alias("ADEP")).agg(
         F.count(F.lit(1)).alias("flights"), F.count_distinct("AC Operator").alias("operators"),
@@ -79,7 +79,7 @@ def history_files(spark, sf_dir):
 SELECT flight_id AS "ECTRL ID", sequence_number AS "Sequence Number", round(latitude, 6) AS "Latitude", round(longitude, 6) AS "Longitude"
 FROM v_points""")
 def point_files(spark, sf_dir):
-    return csv_files.scan_points(spark, landed.history_files(spark, sf_dir))
+    return csv_files.scan_points(spark, landed.point_files(spark, sf_dir))
 
 
 # --- reference data and predictions ------------------------------------------------------------------

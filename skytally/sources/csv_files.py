@@ -79,7 +79,7 @@ def headers(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str, .
         F.col("_metadata.file_block_start").alias("start"),
     ).mapInArrow(_first_line, "value binary, path string, start long")
     found: dict[bytes, list[str]] = {}
-    for row in lines.toLocalIterator():
+    for row in lines.collect():  # a row a file, in one job
         found.setdefault(bytes(row.value), []).append(paths.pop(row.path))
     groups: dict[tuple[str, ...], list[str]] = {(): list(paths.values())} if paths else {}
     for line, held in found.items():
