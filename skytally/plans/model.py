@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,6 +22,7 @@ from skytally.session import cut_lineage
 
 SEED = 84
 MAX_TRAINING_ROWS = 300_000
+ROWS_PER_TASK = 50_000
 WEIGHT = "_weight"
 
 # Training presets.
@@ -131,12 +133,18 @@ def feature_matrix(fitted: PipelineModel, rows: DataFrame, keep: list[str]) -> D
 
 
 def train(rows: DataFrame, preset: str = "forest_job", seed: int = SEED, **overrides) -> PipelineModel:
-    """Fit on all rows, distributed. The rows are kept for the several passes of the fit."""
+    """Fit on all rows, distributed. The rows are kept for the several passes of the fit.
+
+    A fit runs some jobs per level of each boosting round, so the shuffle partitions of the split, most of
+    them nearly empty, are put together to a task per slot, and one per ``ROWS_PER_TASK`` rows.
+    """
     if PRESETS.get(preset, {}).get("balanced"):
         rows = balance_weights(rows)
     kept = rows.persist()
     try:
-        return build_pipeline(preset, seed, **overrides).fit(kept)
+        slots = rows.sparkSession.sparkContext.defaultParallelism
+        return build_pipeline(preset, seed, **overrides).fit(
+            kept.coalesce(max(slots, math.ceil(kept.count() / ROWS_PER_TASK))))
     finally:
         kept.unpersist()
 

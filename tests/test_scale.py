@@ -11,6 +11,7 @@ from harness import landed, landed_queries
 from harness.views import BASE_TABLES
 from skytally.functions import records as R
 from skytally.operators import joins
+from skytally.plans import model
 
 
 def test_input_is_spread_by_its_rows(spark):
@@ -62,3 +63,18 @@ def test_point_files_are_written_by_the_tasks_that_read(spark, flown):
     assert not glob.glob(f"{folder}/**/Flights_*.csv", recursive=True)
     points = landed_queries.point_files(spark, flown)
     assert points.count() == 400 and points.where(F.col("Sequence Number") == 0).count() == 100
+
+
+def test_fit_runs_on_few_partitions(spark, monkeypatch):
+    seen = []
+
+    class Fitted:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+
+    monkeypatch.setattr(model, "build_pipeline", lambda *args, **kwargs: Fitted())
+    rows = spark.range(0, 1000, 1, 60)
+    model.train(rows, "boosting_notebook")
+    monkeypatch.setattr(model, "ROWS_PER_TASK", 100)
+    model.train(rows, "boosting_notebook")
+    assert seen == [(spark.sparkContext.defaultParallelism, 1000), (10, 1000)]
