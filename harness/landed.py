@@ -68,12 +68,12 @@ def payload_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def flight_files(spark: SparkSession, sf_dir: str) -> str:
-    """v_hist as flight CSVs, a folder per origin airport. Each task writes the airports it meets."""
+    """v_hist as flight CSVs, a folder per origin airport. A large airport is split over several tasks and files."""
 
     def build():
         root = scratch_path(spark, "history")
         flights = inputs.history_text(spark, sf_dir).withColumn("key", F.col("ADEP"))
-        flights.write.partitionBy("key").option("header", True).csv(f"{root}-f")
+        flights.hint("rebalance", F.col("key")).write.partitionBy("key").option("header", True).csv(f"{root}-f")
         place_files(spark, f"{root}-f", root, "{key}/Flights_{key}_{n}.csv")
         return root
 
