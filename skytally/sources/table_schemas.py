@@ -13,6 +13,7 @@ import json
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -79,6 +80,23 @@ def stored_schema(spark: SparkSession, table: str) -> T.StructType | None:
     return _latest(spark, table)[1]
 
 
+def _numbered(spark: SparkSession, files, draft, final) -> bool:
+    """Give a draft its number; False if another writer has taken that.
+
+    A rename on a local disk replaces what is there, so a link is made, which cannot.
+    """
+    if files.getUri().getScheme() != "file":
+        return not files.exists(final) and files.rename(draft, final)
+    link, whole = (spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (final, draft))
+    try:
+        spark._jvm.java.nio.file.Files.createLink(link, whole)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def keep_schema(spark: SparkSession, table: str, schema: T.StructType) -> T.StructType:
     """Widen the table's schema by ``schema`` and return it; fails on types that do not go together."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
@@ -95,6 +113,7 @@ def keep_schema(spark: SparkSession, table: str, schema: T.StructType) -> T.Stru
         finally:
             out.close()
         # The draft is whole before it gets its number.
-        if not files.exists(final) and files.rename(draft, final):
-            return wanted
+        taken = _numbered(spark, files, draft, final)
         files.delete(draft, False)
+        if taken:
+            return wanted

@@ -368,6 +368,25 @@ def test_schema_writers_do_not_lose_each_others_columns(spark, tmp_path):
     assert sorted(table_schemas.stored_schema(spark, path).names) == [f"c{n}" for n in range(6)]
 
 
+def test_a_schema_number_is_taken_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table_schemas.keep_schema(spark, path, T.StructType.fromDDL("a int"))
+    folder, files = table_schemas._place(spark, path)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    files.create(path_of(folder, ".late"), False).close()
+    assert not table_schemas._numbered(spark, files, path_of(folder, ".late"), path_of(folder, "1.json"))
+    assert table_schemas.stored_schema(spark, path).names == ["a"]
+    # Writers of many columns at once, several times over.
+    for n in range(3):
+        threads = [threading.Thread(target=table_schemas.keep_schema, args=(
+            spark, f"{path}{n}", T.StructType.fromDDL(f"c{k} int"))) for k in range(12)]
+        for thread in threads:
+            thread.start()
+        for thread in threads:
+            thread.join()
+        assert len(table_schemas.stored_schema(spark, f"{path}{n}").names) == 12
+
+
 def test_csv_files_of_one_name_keep_their_rows(spark, tmp_path):
     table = str(tmp_path / "t")
     for folder, text in (("a b", "x,y\n1,2\n"), ("c", "x, z\n3,4\n5,6\n")):
