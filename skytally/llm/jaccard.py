@@ -11,8 +11,10 @@ exact copies are one set however many rows they are.
    lines come last and rarely enter the prefix. Prefixes are dealt by shingle, those in the bitmap
    salted by digest, sorted, and streamed; only shingles shared by several sets are kept.
    A pair is taken up only if sizes and ranks of the shingle allow the overlap a link needs.
-3. Every set is compared with the first set of its bucket. The links found give components, and
-   these are cut into groups of at most about ``GROUP_SETS`` sets: similar documents.
+3. Every set is compared with the first set of its bucket, then with at most ``PIVOTS`` sets of other
+   components, drawn one from each of its buckets, again while such a round joins many sets. So a group of
+   variants is one component before step 4, and its sets do not all meet each other there. These rounds compare
+   by the shingles' low 16 bits; the pairs left are compared exactly. The links give components, and these are cut into groups of at most about ``GROUP_SETS`` sets: similar documents.
 4. The token-group matrix: a group is stored with the union of its sets. A set meets the groups of
    other components with which it shares a prefix shingle; as ``|A ∩ B| <= |A ∩ union|``, a group is
    opened, and its members compared, only if the set has ``ceil(3n/4)`` shingles in the union.
@@ -57,6 +59,7 @@ HOT_SHINGLES = 1 << 20
 SALTS = 16
 GROUP_SETS = 128
 LONG_BUCKET = 1000
+PIVOT_ROUNDS, PIVOTS = 3, 8
 BLOCK_SETS, BLOCK_SHINGLES = 256, 200_000
 MATRIX_CELLS = 2_000_000
 
@@ -333,9 +336,15 @@ def _pass(pairs: DataFrame, sets: DataFrame, column: str, kind: str) -> DataFram
             .mapInArrow(_compared(kind), "u long, v long"))
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) of digests whose sets link: by the brief forms first, then exactly."""
-    return _pass(cut_lineage(_pass(pairs, sets, "brief", "u2")), sets, "tokens", "u8")
+def _only(sets: DataFrame, digests: DataFrame) -> DataFrame:
+    """digest and tokens of the sets named, and a few more: by a bitmap, as whole sets are too much to shuffle for that."""
+    bitmap = bitmap_of(digests, "digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bitmap, batch.column("digest").to_numpy())))
+
+    return sets.select("digest", "tokens").mapInArrow(run, "digest long, tokens binary")
 
 
 def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,7 +461,7 @@ class Join(NamedTuple):
 def _celled(rows: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     """CELL rows, sorted by cell, of root, low, high, part, digest rows."""
     copies = known.groupBy("digest").agg(F.count("*").alias("copies"))
-    return (rows.join(copies, "digest").join(sets.select("digest", "tokens"), "digest")
+    return (rows.join(copies, "digest").join(_only(sets, rows), "digest")
             .select("root", "low", "high", "part", "digest", "copies", "tokens")
             .repartition("root", "low", "high").sortWithinPartitions("root", "low", "high"))
 
@@ -480,6 +489,19 @@ def _across(opened: DataFrame, member: DataFrame) -> DataFrame:
             .unionByName(own.select(*ends, (-1 - F.col("k")).alias("part"), "digest")))
 
 
+def _pivots(shared: DataFrame, roots: DataFrame, salt: int) -> DataFrame:
+    """Pairs (u, v) of a set and at most PIVOTS sets of other components, drawn one from each of its buckets."""
+    held = shared.select("token", "digest", "n", "rank").join(
+        roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    drawn = held.groupBy("token").agg(
+        F.min_by(F.struct("digest", "n", "rank", "root"), F.xxhash64("digest", "token", F.lit(salt))).alias("pivot"))
+    drawn = drawn.select("token", *[F.col(f"pivot.{c}").alias(f"pivot_{c}") for c in ("digest", "n", "rank", "root")])
+    met = (held.join(drawn, "token").filter(F.col("root") != F.col("pivot_root"))
+           .filter(_compatible("n", "rank", "pivot_n", "pivot_rank")))
+    few = met.groupBy("digest").agg(F.slice(F.array_sort(F.collect_set("pivot_digest")), 1, PIVOTS).alias("pivots"))
+    return few.select(F.col("digest").alias("u"), F.explode("pivots").alias("v"))
+
+
 def _join(docs: DataFrame, key: str, text: str) -> Join:
     spark = docs.sparkSession
     ship(spark)
@@ -497,10 +519,21 @@ def _join(docs: DataFrame, key: str, text: str) -> Join:
     holders = known.join(wanted, "digest").groupBy("digest").agg(F.min("row").alias("row"))
     sets = cut_lineage(rows.select("row", "text").mapInArrow(_sets(bitmap_of(holders, "row")), SETS))
 
+    known_sets = sets.count()
     stars = (shared.filter(F.col("digest") != F.col("first"))
              .filter(_compatible("n", "rank", "first_n", "first_rank"))
              .select(F.col("digest").alias("u"), F.col("first").alias("v")).distinct())
-    links = cut_lineage(_links(stars, sets))
+    near = cut_lineage(_pass(stars, sets, "brief", "u2"))
+    roots = cut_lineage(connected_components(near))
+    for salt in range(PIVOT_ROUNDS):
+        fresh = cut_lineage(_pass(_pivots(shared, roots, salt), sets, "brief", "u2"))
+        near = near.unionByName(fresh)
+        spokes = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = cut_lineage(connected_components(spokes.unionByName(fresh)))
+        if 2 * fresh.count() < known_sets:
+            break
+    ends = near.select(F.explode(F.array("u", "v")).alias("digest"))
+    links = cut_lineage(_pass(near, _only(sets, ends), "tokens", "u8"))
     roots = cut_lineage(connected_components(links))
 
     # Groups: components cut by digest into parts of about GROUP_SETS; a set alone is its own group.

@@ -527,3 +527,19 @@ def test_fingerprint_tells_texts_apart():
     a, b = merkle.fingerprint(text), merkle.fingerprint(other)
     assert a != b and 0.9 < merkle.likeness(a, b) < 1 and merkle.likeness(a, a) == 1
     assert merkle.likeness(a, merkle.fingerprint("quite another text altogether, with nothing shared")) == 0
+
+
+def test_variants_of_a_text_are_joined_before_they_meet_each_other(spark):
+    draw = random.Random(5)
+    words = [f"w{k}" for k in range(200)]
+
+    def variant(changes):
+        out = list(words)
+        for k in range(changes):
+            out[draw.randrange(200)] = f"x{draw.random()}"
+        return " ".join(out)
+
+    # Most link only to those that are changed less, so the first set of a bucket joins few of them.
+    rows = [(k, variant(2 if k % 8 < 3 else 3)) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert jaccard._join(df, "doc_id", "text").across.count() < 2 * len(rows)
