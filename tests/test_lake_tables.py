@@ -387,6 +387,21 @@ def test_a_schema_number_is_taken_once(spark, tmp_path):
         assert len(table_schemas.stored_schema(spark, f"{path}{n}").names) == 12
 
 
+def test_a_load_reads_its_files_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("a", '{"data":[{"flight_date":"2024-01-01","flight":{"iata":"X1"}},{"flight":{}}]}'), ("b", "{cut")]
+    files = spark.createDataFrame(rows, "file_name string, payload string").mapInArrow(counted, "file_name string, payload string")
+    counters = jobs.load_documents(spark, jobs.Lake(str(tmp_path)), files, "flights", "s", "r")
+    assert seen.value == 2
+    assert [counters[k] for k in ("files", "unread_files", "records", "invalid", "valid")] == [2, 1, 2, 1, 1]
+
+
 def test_csv_files_of_one_name_keep_their_rows(spark, tmp_path):
     table = str(tmp_path / "t")
     for folder, text in (("a b", "x,y\n1,2\n"), ("c", "x, z\n3,4\n5,6\n")):
