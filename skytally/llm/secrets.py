@@ -9,8 +9,11 @@ the threshold is the highest that keeps ``MIN_RECALL`` of the held-out positives
 gives there is kept with the network. Candidates above it that no base finding overlaps are added as
 ``cnn``.
 
-The network is fitted on at most ``SAMPLE_CANDIDATES`` windows of each label, those of the least hash over
-all documents. Scanning covers every whole text, in Arrow batches, without a shuffle of texts.
+Every distinct labelled window of all documents takes part: a third of them, by hash, is held out, and the
+others are dealt by hash into parts of about ``PART_WINDOWS``. In each epoch every part is one task that
+trains a copy of the network on all its windows; the copies are averaged by their windows. Calibration and
+threshold are sums and one rank over all held-out windows. Only networks and sums reach the driver. Scanning
+covers every whole text, in Arrow batches, without a shuffle of texts.
 
 Cases: a null or empty text has no findings; repeated rows are scanned alike; without a positive and
 a negative held-out candidate nothing is trained and only base findings are returned; an empty table gives
@@ -19,6 +22,8 @@ an empty result; other columns are kept by ``redact_secrets`` and not read by ``
 
 from __future__ import annotations
 
+import copy
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,9 +37,9 @@ from skytally.llm.registry import read, register, ship
 from skytally.session import cut_lineage
 
 KINDS = ("assign", "access", "hex", "cnn")
-SAMPLE_CANDIDATES = 3_000
+PART_WINDOWS = 50_000
+HELD_OUT = 3  # one window in so many
 MIN_RECALL = 0.98
-HASH_CELLS = 4096
 BEFORE, INSIDE, AFTER = 20, 36, 8
 MIN_OVERLAP = 12
 EMBED, WIDTH, FILTERS, EPOCHS, BATCH, RATE = 8, 5, 24, 8, 64, 0.01
@@ -104,49 +109,68 @@ class Network:
         self.weights = {
             "embed": rng.normal(0, 0.3, (97, EMBED)), "filters": rng.normal(0, 0.2, (WIDTH * EMBED, FILTERS)),
             "bias": np.zeros(FILTERS), "out": rng.normal(0, 0.3, FILTERS), "out_bias": np.zeros(1)}
+        self.first = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         self.scale, self.shift, self.threshold, self.precision = 1.0, 0.0, 1.1, 0.0
 
     def forward(self, x: np.ndarray):
-        w = self.weights
-        e = w["embed"][x]
-        span = x.shape[1] - WIDTH + 1
-        patches = np.concatenate([e[:, k:k + span] for k in range(WIDTH)], axis=2)
-        maps = patches @ w["filters"] + w["bias"]
+        """Where each filter is highest, its value there if positive, and the logits.
+
+        A character adds the same to a filter wherever it stands in the patch at one place, so that is looked up.
+        """
+        w, span = self.weights, x.shape[1] - WIDTH + 1
+        adds = np.einsum("ce,kef->kcf", w["embed"], w["filters"].reshape(WIDTH, EMBED, FILTERS)).astype(np.float32)
+        maps = adds[0].take(x[:, :span], axis=0)
+        for k in range(1, WIDTH):
+            maps += adds[k].take(x[:, k:k + span], axis=0)
         top = maps.argmax(axis=1)
-        pooled = np.maximum(np.take_along_axis(maps, top[:, None, :], 1)[:, 0], 0)
-        return patches, top, pooled, pooled @ w["out"] + w["out_bias"][0]
+        pooled = np.maximum(np.take_along_axis(maps, top[:, None, :], 1)[:, 0] + w["bias"], 0)
+        return top, pooled, pooled @ w["out"] + w["out_bias"][0]
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.forward(x[at:at + 512])[3] for at in range(0, len(x), 512)])
+        return np.concatenate([self.forward(x[at:at + 64])[2] for at in range(0, len(x), 64)])
 
     def gradient(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        patches, top, pooled, z = self.forward(x)
+        top, pooled, z = self.forward(x)
         d = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / len(y)
         d_pool = d[:, None] * self.weights["out"] * (pooled > 0)
-        picked = np.take_along_axis(patches, top[:, :, None], 1)  # rows, filters, patch
-        g = {"out": pooled.T @ d, "out_bias": np.array([d.sum()]), "bias": d_pool.sum(0),
-             "filters": np.einsum("nf,nfp->pf", d_pool, picked), "embed": np.zeros_like(self.weights["embed"])}
-        back = d_pool[:, :, None] * self.weights["filters"].T  # rows, filters, patch
-        for k in range(WIDTH):
-            np.add.at(g["embed"], np.take_along_axis(x, top + k, 1), back[:, :, k * EMBED:(k + 1) * EMBED])
-        return g
+        # What reaches each character, filter and place in the patch.
+        seen = [(np.take_along_axis(x, top + k, 1).astype(np.int64) * FILTERS + np.arange(FILTERS)).ravel() for k in range(WIDTH)]
+        size = len(self.weights["embed"]) * FILTERS
+        reach = np.stack([np.bincount(at, d_pool.ravel(), size).reshape(-1, FILTERS) for at in seen])
+        filters = self.weights["filters"].reshape(WIDTH, EMBED, FILTERS)
+        return {"out": pooled.T @ d, "out_bias": np.array([d.sum()]), "bias": d_pool.sum(0),
+                "filters": (self.weights["embed"].T @ reach).reshape(WIDTH * EMBED, FILTERS),
+                "embed": (reach @ filters.transpose(0, 2, 1)).sum(0)}
+
+    def state(self) -> np.ndarray:
+        """Weights and both moments of the optimiser, one after the other."""
+        return np.concatenate([part[k].ravel() for part in (self.weights, self.first, self.second) for k in self.weights])
+
+    def restore(self, state: np.ndarray) -> None:
+        at = 0
+        for part in (self.weights, self.first, self.second):
+            for k, v in self.weights.items():
+                part[k] = state[at:at + v.size].reshape(v.shape).copy()
+                at += v.size
+
+    def epoch(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, order: np.ndarray, step: int) -> int:
+        """One pass of Adam over the windows in ``order``; returns the steps done so far."""
+        for at in range(0, len(y), BATCH):
+            pick = order[at:at + BATCH]
+            step += 1
+            for k, g in self.gradient(x[pick], y[pick], weight[pick]).items():
+                self.first[k] = 0.9 * self.first[k] + 0.1 * g
+                self.second[k] = 0.999 * self.second[k] + 0.001 * g * g
+                self.weights[k] -= RATE * (self.first[k] / (1 - 0.9 ** step)) / (
+                    np.sqrt(self.second[k] / (1 - 0.999 ** step)) + 1e-8)
+        return step
 
     def train(self, x: np.ndarray, y: np.ndarray, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
-        weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6))
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step = 0
+        weight, step = class_weight(y, y.mean()), 0
         for _ in range(EPOCHS):
-            order = rng.permutation(len(y))
-            for at in range(0, len(y), BATCH):
-                pick = order[at:at + BATCH]
-                step += 1
-                for k, g in self.gradient(x[pick], y[pick], weight[pick]).items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    self.weights[k] -= RATE * (first[k] / (1 - 0.9 ** step)) / (
-                        np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
+            step = self.epoch(x, y, weight, rng.permutation(len(y)), step)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Platt scaling, then the highest threshold with the recall asked for."""
@@ -162,12 +186,20 @@ class Network:
         self.threshold = float(positive[int(np.floor((1 - MIN_RECALL) * len(positive)))])
         self.precision = float(y[score >= self.threshold].mean())
 
+    def calibrated(self, z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30)))
+
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -30, 30)))
+        return self.calibrated(self.logits(x))
+
+
+def class_weight(y: np.ndarray, share: float) -> np.ndarray:
+    """Weights that give both classes, of which ``share`` is positive, the same sum."""
+    return np.where(y == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
 
 
 def fit(rows: list[tuple[str, int]]) -> Network | None:
-    """A trained, calibrated network on (window, label) rows; a third is held out."""
+    """A trained, calibrated network on (window, label) rows held by the caller; a third is held out."""
     if not rows:
         return None
     x, y = encode([w for w, _ in rows]), np.array([label for _, label in rows], float)
@@ -205,55 +237,104 @@ def _texts(batch: pa.RecordBatch, step: int = 500) -> Iterator[tuple[pa.RecordBa
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a task's labelled windows, the SAMPLE_CANDIDATES of each label with the least hashes."""
-    import xxhash
-
-    kept: tuple[dict, dict] = {}, {}
-    bound = [1 << 63, 1 << 63]
+    """The labelled windows of the texts, each once in a batch."""
     for batch in batches:
         for _, texts in _texts(batch):
+            found: dict[tuple[str, int], None] = {}
             for t in texts:
                 base = base_findings(t)
                 for span in (p for c in candidates(t) for p in pieces(*c)):
                     y = label(span, base)
-                    if y is None:
-                        continue
-                    seen = window(t, *span)
-                    h = xxhash.xxh64_intdigest(seen.encode("utf-8", "surrogatepass")) >> 1
-                    if h < bound[y]:
-                        kept[y][seen] = h
-            for y, own in enumerate(kept):
-                if len(own) > 2 * SAMPLE_CANDIDATES:
-                    least = sorted(own.items(), key=lambda x: x[::-1])[:SAMPLE_CANDIDATES]
-                    bound[y] = least[-1][1]
-                    own.clear()
-                    own.update(least)
-    for y, own in enumerate(kept):
-        least = sorted(own.items(), key=lambda x: x[::-1])[:SAMPLE_CANDIDATES]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in least], pa.string()), pa.array([y] * len(least), pa.int32()),
-             pa.array([h for _, h in least], pa.int64())], names=["seen", "label", "place"])
+                    if y is not None:
+                        found[window(t, *span), y] = None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in found], pa.string()), pa.array([y for _, y in found], pa.int32())],
+                names=["seen", "label"])
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Network | None:
-    """Fit the network on the bounded sample of the labelled windows of all ``docs``."""
+def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every distinct labelled window of the documents, with its hash."""
     ship(docs.sparkSession)
-    found = cut_lineage(docs.select(F.col(f"`{text}`").alias("text"))
-                        .mapInArrow(_labelled, "seen string, label int, place long").distinct())
-    cell = F.shiftright("place", 63 - HASH_CELLS.bit_length() + 1)
-    counts: dict[int, dict[int, int]] = {0: {}, 1: {}}
-    for r in found.groupBy("label", cell.alias("cell")).count().collect():
-        counts[r["label"]][r["cell"]] = r["count"]
-    chosen = []
-    for y, own in counts.items():
-        last = total = 0
-        for last in sorted(own):
-            total += own[last]
-            if total >= SAMPLE_CANDIDATES:
-                break
-        rows = found.filter((F.col("label") == y) & (cell <= last)).collect()
-        chosen += [(r["seen"], y) for r in sorted(rows, key=lambda r: (r["place"], r["seen"]))[:SAMPLE_CANDIDATES]]
-    return fit(chosen)
+    found = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(_labelled, "seen string, label int").distinct()
+    return cut_lineage(found.withColumn("place", F.xxhash64("seen")))
+
+
+def train_parts(windows: DataFrame, count: int, share: float) -> Network:
+    """A network trained on all ``count`` rows: per epoch, the mean of the copies trained by the parts."""
+    parts = math.ceil(count / PART_WINDOWS)
+    # Other bits of the hash than those that hold windows out.
+    dealt = windows.withColumn("part", F.pmod(F.shiftright("place", 20), F.lit(parts)).cast("int"))
+    kept = dealt.repartition(parts, "part").persist()
+    network, steps = Network(), {}
+    try:
+        for number in range(EPOCHS):
+            def run(rows: pd.DataFrame) -> pd.DataFrame:  # done with when this epoch's copies are collected
+                rows, part = rows.sort_values(["place", "seen", "label"]), int(rows["part"].iloc[0])
+                x, y = encode(rows["seen"].tolist()), rows["label"].to_numpy(float)
+                order = np.random.default_rng((11, number, part)).permutation(len(y))
+                own = copy.deepcopy(network)  # a task can hold several parts
+                done = own.epoch(x, y, class_weight(y, share), order, steps.get(part, 0))
+                return pd.DataFrame([(part, len(y), done, own.state().tobytes())], columns=["part", "n", "done", "state"])
+
+            copies = sorted(kept.groupBy("part").applyInPandas(run, "part int, n long, done int, state binary").collect())
+            states = np.stack([np.frombuffer(bytes(c["state"])) for c in copies])
+            network.restore(np.average(states, axis=0, weights=[c["n"] for c in copies]))
+            steps = {c["part"]: c["done"] for c in copies}
+    finally:
+        kept.unpersist()
+    return network
+
+
+def calibrate_parts(network: Network, held: DataFrame, positive: int, negative: int) -> None:
+    """Platt scaling by Newton steps over sums, then the threshold by the rank of the scores, of all held-out rows."""
+
+    def score(batches):
+        for batch in batches:
+            if batch.num_rows:
+                z = network.logits(encode(batch.column("seen").to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(z, pa.float64())], names=["label", "z"])
+
+    scored = cut_lineage(held.mapInArrow(score, "label int, z double"))
+    y, z = F.col("label") == 1, F.col("z")
+    target = F.when(y, (positive + 1) / (positive + 2)).otherwise(1 / (negative + 2))
+
+    def sums(scale: float, shift: float) -> tuple[float, ...]:
+        at = scale * z + shift
+        p = 1 / (1 + F.exp(-at))
+        loss = F.greatest(at, F.lit(0.0)) - target * at + F.log1p(F.exp(-F.abs(at)))
+        error, curve = p - target, p * (1 - p)
+        return tuple(scored.agg(*[F.avg(c) for c in (loss, error * z, error, curve * z * z, curve * z, curve)]).first())
+
+    here = sums(network.scale, network.shift)
+    for _ in range(20):
+        _, g_scale, g_shift, h_scale, h_both, h_shift = here
+        hessian = np.array([[h_scale, h_both], [h_both, h_shift]]) + 1e-9 * np.eye(2)
+        move, size = np.linalg.solve(hessian, [g_scale, g_shift]), 1.0
+        there = sums(network.scale - move[0], network.shift - move[1])
+        while there[0] > here[0] and size > 1e-3:
+            size /= 2
+            there = sums(network.scale - size * move[0], network.shift - size * move[1])
+        if there[0] > here[0] - 1e-9:
+            break
+        network.scale, network.shift = float(network.scale - size * move[0]), float(network.shift - size * move[1])
+        here = there
+    rank = int(np.floor((1 - MIN_RECALL) * positive))
+    lowest = scored.filter(y).select("z").orderBy("z").rdd.zipWithIndex().filter(lambda r: r[1] == rank).first()[0]["z"]
+    network.threshold = float(network.calibrated(np.array([lowest]))[0])
+    network.precision = float(scored.filter(z >= lowest).agg(F.avg("label")).first()[0])
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Network | None:
+    """Fit the network on the labelled windows of all ``docs``."""
+    windows = labelled_windows(docs, text)
+    held = F.pmod("place", F.lit(HELD_OUT)) == HELD_OUT - 1
+    counts = {(r["held"], r["label"]): r["count"] for r in windows.groupBy(held.alias("held"), "label").count().collect()}
+    if len(counts) < 4:
+        return None
+    count = counts[False, 0] + counts[False, 1]
+    network = train_parts(windows.filter(~held), count, counts[False, 1] / count)
+    calibrate_parts(network, windows.filter(held), counts[True, 1], counts[True, 0])
+    return network
 
 
 def scan_secrets(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:

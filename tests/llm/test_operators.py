@@ -380,6 +380,29 @@ def test_training_draws_from_all_documents(spark):
     assert secrets.train(df) is not None
 
 
+def test_network_is_fitted_on_all_windows(spark, monkeypatch):
+    rng = random.Random(8)
+    plain = ["see the page " + "".join(rng.choices("abcdefgh", k=16)) + f"{i} and" for i in range(9_000)]
+    secret = [f"the password={i}k" + "".join(rng.choices("0123456789abcdef", k=20)) + " and" for i in range(900)]
+    df = spark.createDataFrame(list(enumerate(plain + secret + plain[:50])), "doc_id long, text string")
+    monkeypatch.setattr(secrets, "PART_WINDOWS", 2_000)
+    used, real = [], secrets.train_parts
+    monkeypatch.setattr(secrets, "train_parts", lambda windows, count, share: used.append(
+        (windows.count(), count)) or real(windows, count, share))
+    held, scored = [], secrets.calibrate_parts
+    monkeypatch.setattr(secrets, "calibrate_parts", lambda network, rows, *n: held.append(
+        (rows.count(), sum(n))) or scored(network, rows, *n))
+    network = secrets.train(df.repartition(3))
+    assert used[0][0] == used[0][1] and held[0][0] == held[0][1] and used[0][0] + held[0][0] == 9_900
+    again = secrets.train(df.repartition(5))
+    assert all(np.array_equal(network.weights[k], again.weights[k]) for k in network.weights)
+    fresh = [(secrets.window(t, *secrets.candidates(t)[0]), t.startswith("the")) for t in (
+        [f"see the page {w} and" for w in ("abcdefghabcdefgh7", "hhgfedcbaabcdefg12", "bcbcbcbcbcadadad99")]
+        + [f"the password={w} and" for w in ("7k0123456789abcdef0123", "31kfedcba98765432100a1b")])]
+    score = network.probability(secrets.encode([w for w, _ in fresh]))
+    assert [s >= network.threshold for s in score] == [y for _, y in fresh] and network.precision > 0.95
+
+
 def test_network_sees_whole_candidates():
     class Stub:  # sure of windows with a Z
         threshold = 0.5
