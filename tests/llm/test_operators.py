@@ -496,6 +496,18 @@ def test_pieces_of_the_model(model):
     assert sum(list(model.n_best(w)[0][1]) == library.encode(w) for w in words) > 0.8 * len(words)
 
 
+def test_entries_need_no_search(model, monkeypatch):
+    rng = random.Random(8)
+    parts = ["".join(rng.choice(rng.choice(["ab", "a-", "then", "1梦.", "\x01é="])) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    found = [model.search(part, 2) for part in parts]
+    monkeypatch.setattr(nbest.Lattice, "search", None)  # a heap of paths was most of the time of a word
+    for part, best in zip(parts, found):
+        loss = best[0][0] - best[1][0] if len(best) > 1 else math.inf
+        ids = nbest._ids(best[0][1])
+        assert model.entry(part) == (best[0][0], np.array(ids, "<u4").tobytes(), loss, part.encode())
+    assert any(len(best) == 1 for best in found)
+
+
 def test_segmentation_query(odd_docs, odd_rows, no_docs, model):
     rows = nbest.segment_documents(odd_docs, nbest.default_model(), 2).collect()
     assert sorted(r["doc_id"] for r in rows) == sorted(d for d, _ in odd_rows)
