@@ -336,15 +336,15 @@ def _pass(pairs: DataFrame, sets: DataFrame, column: str, kind: str) -> DataFram
             .mapInArrow(_compared(kind), "u long, v long"))
 
 
-def _only(sets: DataFrame, digests: DataFrame) -> DataFrame:
-    """digest and tokens of the sets named, and a few more: by a bitmap, as whole sets are too much to shuffle for that."""
+def _only(sets: DataFrame, digests: DataFrame, column: str = "tokens") -> DataFrame:
+    """digest and tokens (or brief) of the sets named, and a few more: by a bitmap, as whole sets are too much to shuffle for that."""
     bitmap = bitmap_of(digests, "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(bitmap, batch.column("digest").to_numpy())))
 
-    return sets.select("digest", "tokens").mapInArrow(run, "digest long, tokens binary")
+    return sets.select("digest", column).mapInArrow(run, f"digest long, {column} binary")
 
 
 def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -502,6 +502,25 @@ def _pivots(shared: DataFrame, roots: DataFrame, salt: int) -> DataFrame:
     return few.select(F.col("digest").alias("u"), F.explode("pivots").alias("v"))
 
 
+def _meets(held: DataFrame) -> DataFrame:
+    """u, n, group: the sets and the groups of other components they meet, of token, digest, n, rank, root, group, members rows.
+
+    Two groups meet once: the sets of the smaller one are compared with the larger. The join takes that up, or the
+    many sets of a large group would each give a row with every small one.
+    """
+    groups = held.groupBy("token", "group").agg(
+        F.first("root").alias("group_root"), F.first("members").alias("group_members"), F.min("n").alias("least"),
+        F.max("n").alias("most"), F.max(F.col("n") - F.col("rank")).alias("behind"))
+    # As ``compatible``, by what the group's members can have at most.
+    smallest = F.greatest(4 * F.col("least"), 3 * F.col("n"))
+    return (held.withColumnRenamed("group", "own").join(groups, "token")
+            .filter((F.col("root") != F.col("group_root"))
+                    & (F.struct("members", "own") < F.struct(F.col("group_members").alias("members"), F.col("group").alias("own")))
+                    & (3 * F.col("n") <= 4 * F.col("most")) & (3 * F.col("least") <= 4 * F.col("n"))
+                    & (28 * F.least(F.col("n") - F.col("rank"), F.col("behind")) >= 3 * (4 * F.col("n") + smallest)))
+            .select(F.col("digest").alias("u"), "n", "group").distinct())
+
+
 def _join(docs: DataFrame, key: str, text: str) -> Join:
     spark = docs.sparkSession
     ship(spark)
@@ -544,32 +563,18 @@ def _join(docs: DataFrame, key: str, text: str) -> Join:
         .select("digest", "n", F.coalesce("root", "digest").alias("root"), F.when(
             F.col("parts").isNull(), F.col("digest")).otherwise(
             F.xxhash64("root", F.pmod(F.xxhash64("digest"), F.col("parts")))).alias("group"), F.col("parts").isNotNull().alias("linked")))
-    held = shared.select("token", "digest", "rank").join(member.drop("linked"), "digest")
+    members = member.groupBy("group").agg(F.count("*").alias("members"))
+    held = shared.select("token", "digest", "rank").join(member.drop("linked").join(members, "group"), "digest")
     mixed = held.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     held = cut_lineage(held.join(mixed, "token"))
-    groups = held.groupBy("token", "group").agg(
-        F.first("root").alias("group_root"), F.min("n").alias("least"), F.max("n").alias("most"),
-        F.max(F.col("n") - F.col("rank")).alias("behind"))
-    alone = member.groupBy("group").agg(F.count("*").alias("members"))
-    # As ``compatible``, by what the group's members can have at most.
-    smallest = F.greatest(4 * F.col("least"), 3 * F.col("n"))
-    meets = (held.withColumnRenamed("group", "own").join(groups, "token")
-             .filter((F.col("root") != F.col("group_root"))
-                     & (3 * F.col("n") <= 4 * F.col("most")) & (3 * F.col("least") <= 4 * F.col("n"))
-                     & (28 * F.least(F.col("n") - F.col("rank"), F.col("behind")) >= 3 * (4 * F.col("n") + smallest)))
-             .select(F.col("digest").alias("u"), "n", "own", "group").distinct())
-    # Two groups meet once: the sets of the smaller one are compared with the larger.
-    own = alone.select(F.col("group").alias("own"), F.col("members").alias("own_members"))
-    meets = cut_lineage(
-        meets.join(own, "own").join(alone, "group")
-        .filter(F.struct("own_members", "own") < F.struct("members", "group"))
-        .select("u", "n", "group"))
-    needed = meets.select("group").distinct()
-    unions = (sets.select("digest", "brief").join(member.join(needed, "group", "left_semi").select("digest", "group"), "digest")
+    meets = cut_lineage(_meets(held))
+    needed = member.join(meets.select("group").distinct(), "group", "left_semi").select("digest", "group")
+    unions = (_only(sets, needed, "brief").join(needed, "digest")
               .select("group", "brief").repartition("group").sortWithinPartitions("group")
               .mapInArrow(_unions, "group long, union binary"))
+    met = _only(sets, meets.select(F.col("u").alias("digest")), "brief").withColumnRenamed("digest", "u")
     opened = cut_lineage(
-        meets.join(sets.select(F.col("digest").alias("u"), "brief"), "u").join(unions, "group")
+        meets.join(met, "u").join(unions, "group")
         .select("u", "n", "group", "brief", "union").mapInArrow(_bounded, BOUNDED))
     return Join(known, links, *(_celled(rows, known, sets) for rows in (_inside(member), _across(opened, member))))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skytally.llm import (
     components, jaccard, merkle, nbest, packing, pii, quality, secrets, sharding, token_files, urls,
 )
-from skytally.session import scratch_path
+from skytally.session import cut_lineage, scratch_path
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
 
@@ -578,3 +578,27 @@ def test_variants_of_a_text_are_joined_before_they_meet_each_other(spark):
     rows = [(k, variant(2 if k % 8 < 3 else 3)) for k in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert jaccard._join(df, "doc_id", "text").across.count() < 2 * len(rows)
+
+
+def test_only_smaller_groups_give_rows_for_a_meeting(spark):
+    # A common shingle: 60 sets of one group, 40 sets that are a group each. The sets of the large group give no rows.
+    rows = [(1, d, 10, 0, 1 if d < 100 else d, 1 if d < 100 else d, 60 if d < 100 else 1) for d in [*range(60), *range(100, 140)]]
+    held = spark.createDataFrame(rows, "token long, digest long, n int, rank int, root long, group long, members long")
+    found = jaccard._meets(held)
+    assert {(r["u"], r["group"]) for r in found.collect()} == {
+        *((u, 1) for u in range(100, 140)), *((u, g) for u in range(100, 140) for g in range(u + 1, 140))}
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert len(joins) == 1 and "group_members" in joins[0]  # the join gives 40 * 60 rows no more
+
+
+def test_rounds_of_components_write_few_files(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "cut_lineage", lambda df: written.append(df.rdd.getNumPartitions()) or cut_lineage(df))
+    edges = spark.createDataFrame([(k, k + 1) for k in range(30)], "u long, v long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else partitions are put together by size
+    try:
+        found = components.connected_components(edges).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sorted((r["node"], r["root"]) for r in found) == [(k, 0) for k in range(31)]
+    assert len(written) > 3 and set(written[1:]) == {1}
