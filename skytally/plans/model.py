@@ -203,10 +203,10 @@ def confusion_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
 
 
 def train_and_evaluate(
-    dataset: DataFrame, preset: str = "forest_job", seed: int = SEED, max_rows: int = MAX_TRAINING_ROWS, **overrides
+    dataset: DataFrame, preset: str = "forest_job", seed: int = SEED, max_rows: int = 0, **overrides
 ) -> tuple[PipelineModel, DataFrame]:
-    """Exact stratified 80/20 split of all rows, fit on at most ``max_rows`` of the training side (0: all),
-    report on every held-out row."""
+    """Exact stratified 80/20 split of all rows, fit on the whole training side (at most ``max_rows`` of it if
+    given), report on every held-out row."""
     training, held_out = split_train_test(dataset, TARGET, 0.2, seed)
     model = train(stratified_sample(training, TARGET, max_rows, seed), preset, seed, **overrides)
     return model, confusion_report(score(model, held_out), TARGET, "predicted_is_delayed")

@@ -181,6 +181,24 @@ def test_report_covers_all_held_out_rows(spark):
     assert fitted.stages[-1].numFeatures > 0
 
 
+def test_fit_takes_every_training_row(spark, monkeypatch):
+    i = F.col("id")
+    dataset = spark.range(375_100).select(
+        (i % 2).alias(TARGET), (i % 12 + 1).alias("month"), (i % 7).alias("day_of_week"), (300 + i).alias("Requested FL"),
+        (i / 7).alias("Actual Distance Flown (nm)"), F.lit("AFR").alias("AC Operator"), F.lit(1.0).alias("Latitude"),
+        F.lit(2.0).alias("Longitude"), (i % 24).alias("hour"))
+    fit, fitted_on = model.train, []
+
+    def counted(rows, *args, **kwargs):
+        fitted_on.append(rows.count())
+        return fit(rows, *args, **kwargs)
+
+    monkeypatch.setattr(model, "train", counted)
+    _, report = model.train_and_evaluate(dataset, "boosting_notebook", maxIter=1, maxDepth=1)
+    assert fitted_on == [300_080]
+    assert report.first().support + report.collect()[1].support == 75_020
+
+
 def test_training_guards(spark):
     schema = f"{TARGET} string, " + ", ".join(f"`{c}` string" for c in FEATURES)
     row = ["0", "1", "2", "350", "100", "AFR", "1", "2", "3"]
