@@ -517,6 +517,27 @@ def test_segmentation_query(odd_docs, odd_rows, no_docs, model):
     assert nbest.segment_documents(no_docs, nbest.default_model()).count() == 0
 
 
+def test_each_of_the_n_best_is_whole(spark, model):
+    rng = random.Random(3)
+    words = ["the", "riverbank", "a-b.c", "naïve", "梦x", "", "\x01", "12,5", "aaaa"]
+    texts = [None, "", " ", "same same", "same same", *[" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(60)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    digests = {r["doc_id"]: r for r in nbest.segment_documents(docs, nbest.default_model(), 4).collect()}
+    chance = dict(model.pieces.values())
+    for doc_id, found in nbest.n_best_segmentations(docs, nbest.default_model(), 4).collect():
+        text, row = texts[doc_id] or "", digests.pop(doc_id)
+        ids = [np.frombuffer(s["ids"], "<u4").tolist() for s in found]
+        whole = model.part_n_best(nbest.MARK + text.replace(" ", nbest.MARK), 4) if text else [(0.0, ())]
+        scores = [score for score, _ in whole]  # of A* over the lattice of the whole text
+        assert [s["score"] for s in found] == pytest.approx(scores) == [row["best_score"], *row["next_scores"]]
+        assert [sum(chance.get(i, model.byte_score) for i in one) for one in ids] == pytest.approx(scores)
+        assert len(set(map(tuple, ids))) == len(ids) == row["n_found"]
+        assert {s["decoded"] for s in found} == {text} and row["decoded"]
+        assert [row["ids_crc32"], *row["next_ids_crc32"]] == [zlib.crc32(s["ids"]) for s in found]
+        assert [row["n_pieces"], *row["next_n_pieces"]] == [len(one) for one in ids]
+    assert not digests
+
+
 # 9 urls
 def test_urls(spark):
     rows = [(1, None), (2, ""), (3, "nothing"), (4, "HTTP://WWW.Example.COM/en/1?x://y#z"), (5, "http://example.com/en/1"),
