@@ -546,3 +546,27 @@ def test_payloads_that_land_again_are_loaded_once(spark, tmp_path):
     routes = tables.read_table(spark, lake.path("flight_aircraft_routes"), ROUTES)
     counts = sorted(r["count"] for r in routes.groupBy("run_id").count().collect())
     assert counts == [1, 2] and len(aside(spark, lake)) == 1
+
+
+def test_seen_payloads_are_kept_on_disk(spark, tmp_path, monkeypatch):
+    provider, landed = "spark.sql.streaming.stateStore.providerClass", tmp_path / "in"
+    landed.mkdir()
+
+    def load(name, *payloads):
+        """Routes of the lake once the payloads are in, and whether the digests seen are in RocksDB."""
+        for run, payload in payloads:
+            (landed / f"aviationstack_flights_incoming_{run}.json").write_text(payload)
+        lake, stream = jobs.Lake(str(tmp_path / name)), read_incoming(spark, str(landed), "aviationstack", "flights")
+        query = ingest(lake, stream, "aviationstack", "flights", str(tmp_path / f"{name}-cp"), "1 day")
+        query.awaitTermination()
+        used = {any("rocksdb" in key for key in o["customMetrics"]) for p in query.recentProgress for o in p["stateOperators"]}
+        assert spark.conf.get(provider, None) is None
+        return tables.read_table(spark, lake.path("flight_aircraft_routes"), ROUTES).count(), used
+
+    one, two = (json.dumps({"data": [flight(n)]}) for n in ("A1", "A2"))
+    with monkeypatch.context() as patch:  # as checkpoints were begun before
+        patch.setattr("skytally.streaming.snapshots.STATE_STORE", {})
+        assert load("old", ("r1", one)) == (1, {False})
+    assert load("new") == (1, {True})
+    assert load("new", ("r2", one), ("r3", two)) == (2, {True})
+    assert load("old") == (2, {False})
